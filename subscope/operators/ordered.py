@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..sources.io import stage
 from .groups import null_safe
 
 _B = "__bucket"
@@ -154,7 +155,8 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation.
 
-    1. Count each distinct value per group (combined map-side).
+    1. Count each distinct value per group (combined map-side); the counts are
+       read four times below, so they are staged and ``df`` runs once.
     2. Cut a group's distinct values into about ``parts`` ranges at bounded
        approximate percentiles; sum the counts per range.
     3. Number values inside a range only, and add the earlier ranges' counts.
@@ -168,7 +170,7 @@ def quantiles(
     base = df.where(F.col(value).isNotNull()).withColumn("__v", F.col(value).cast("double"))
     if not by:
         base = base.withColumn("__all", F.lit(1))
-    freq = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    freq = stage(base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n")))
     cuts = [i / parts for i in range(1, parts)]
     marks = _prefixed(freq, keys).groupBy(*[f"__k{i}" for i in range(len(keys))]).agg(
         F.percentile_approx("__v", cuts, 10000).alias("__marks"),

@@ -12,6 +12,7 @@ from ..functions.columns import ladder, pct_label, ratio
 from ..operators.groups import keep_group_min, share_of, with_group_stat
 from ..operators.intervals import label_period
 from ..operators.ordered import join_stats, quantiles
+from ..sources.io import stage
 
 # One contract as the reports count it.
 KEY = ["shiptocustomernumber", "ordernumber", "pelcro_subid"]
@@ -118,8 +119,8 @@ def renewal_outcomes_monthly(
         & F.col("pubcode").isin(*products) & known
     )
     first = keep_group_min(live, ["shiptocustomernumber", "pelcro_subid"], "termnumber")
-    c = _contracts(first.where(F.col("rate") <= max_rate),
-                   [x for x in CONTRACT_COLS if x != "orderdate"])
+    c = stage(_contracts(first.where(F.col("rate") <= max_rate),
+                         [x for x in CONTRACT_COLS if x != "orderdate"]))
     by = ["pubcode", "termlength", "isautorenew"]
     renewed, gone = F.col("n_renewals") > 0, F.col("n_renewals") == 0
     raised = renewed & (
@@ -170,7 +171,7 @@ def new_orders(
         (F.col("donortype") == "I") & (F.col("orderdate") >= _day(since))
         & (F.col("termnumber") == 1) & F.col("pubcode").isin(*products)
     )
-    c = _contracts(first)
+    c = stage(_contracts(first))
     by = ["pubcode", "termlength", "isautorenew"]
     exp, renewed = F.col("expirationissuedate"), F.col("n_renewals") > 0
     out = distinct_rollup(
@@ -273,7 +274,7 @@ def new_order_first_term(terms: DataFrame, since: str, as_of: str) -> DataFrame:
         (F.col("donortype") == "I") & (F.col("orderdate") >= _day(since))
         & (F.col("termnumber") == 1) & (F.col("expirationissuedate") <= _day(as_of))
     )
-    rows = _order_terms(first)
+    rows = stage(_order_terms(first))
     kept, lost = F.col("did_renew") == 1, F.col("did_renew") == 0
     by = ["order_level", "termlength"]
     out = distinct_rollup(
