@@ -3,6 +3,6 @@
 from . import registry
 from .registry import ORACLE, QUERIES
 
-from . import engagement, estimates, history, pricing, quality  # noqa: F401,E402
+from . import engagement, estimates, history, paths, pricing, quality  # noqa: F401,E402
 
 registry.resolve()

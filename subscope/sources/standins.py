@@ -208,7 +208,8 @@ class Inputs:
             .alias("referrer_type"),
             F.when(eid % 3 == 0, "Mobile Phone").when(eid % 3 == 1, "Tablet")
             .otherwise("Other").alias("device"),
-            F.when(F.col("value") < 20, None).when(F.col("value") < 60, "reg")
+            F.when((F.col("value") < 20) | (uid % 4 == 0), None)
+            .when((F.col("value") < 60) | (uid % 4 == 1), "reg")
             .otherwise("sub").alias("visitor_access"),
         )
 
@@ -420,8 +421,8 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
             when 2 then 'typed/bookmarked' when 3 then 'other web sites' end as referrer_type,
           case event_id % 3 when 0 then 'Mobile Phone' when 1 then 'Tablet' else 'Other' end
             as device,
-          case when value < 20 then null when value < 60 then 'reg' else 'sub' end
-            as visitor_access
+          case when value < 20 or user_id % 4 = 0 then null
+            when value < 60 or user_id % 4 = 1 then 'reg' else 'sub' end as visitor_access
         from events"""),
     "identity": ((), """
         select 'K' || c_custkey as customermasterkey,
