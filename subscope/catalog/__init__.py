@@ -3,6 +3,15 @@
 from . import registry
 from .registry import ORACLE, QUERIES
 
-from . import engagement, estimates, history, paths, pricing, quality  # noqa: F401,E402
+from . import (  # noqa: E402,F401
+    audience,
+    engagement,
+    estimates,
+    history,
+    operators,
+    paths,
+    pricing,
+    quality,
+)
 
 registry.resolve()

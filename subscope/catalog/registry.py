@@ -1,8 +1,8 @@
 """Registered queries: a Spark builder, its output columns, and the oracle SQL.
 
 A column list such as ``"brand:s n:l share:d"`` fixes names, order and types
-on both sides: s text, l bigint, d double rounded to 6 places, m money rounded
-to 2 places, t date, b boolean.
+on both sides: s text, l bigint, d double rounded to 6 places (p: 8), m money
+rounded to 2 places, t date, b boolean.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = dict(VIEW_SQL)
 
 _SPARK = {"s": "string", "l": "bigint", "t": "date", "b": "boolean"}
 _DUCK = {"s": "varchar", "l": "bigint", "t": "date", "b": "boolean"}
-_PLACES = {"d": 6, "m": 2}
+_PLACES = {"d": 6, "p": 8, "m": 2}
 
 
 def fragment(name: str, needs: Iterable[str], sql: str) -> None:

@@ -31,7 +31,9 @@ def sum_if(cond: Column, value) -> Column:
 
 
 def mean_if(cond: Column, value) -> Column:
-    return F.avg(F.when(cond, col(value)))
+    """Mean of ``value`` where ``cond``: the exact sum divided once (null over nothing)."""
+    picked = F.when(cond, col(value))
+    return F.try_divide(F.sum(picked).cast("double"), F.count(picked).cast("double"))
 
 
 def sum0(value) -> Column:
