@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..sources.io import stage
-from .groups import null_safe
+from .groups import null_safe, with_group_stat
 
 _B = "__bucket"
 
@@ -172,12 +172,14 @@ def quantiles(
         base = base.withColumn("__all", F.lit(1))
     freq = stage(base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n")))
     cuts = [i / parts for i in range(1, parts)]
-    marks = _prefixed(freq, keys).groupBy(*[f"__k{i}" for i in range(len(keys))]).agg(
-        F.percentile_approx("__v", cuts, 10000).alias("__marks"),
-        F.sum("__n").alias("__total"),
-    )
-    cond = null_safe(freq, marks, [(c, f"__k{i}") for i, c in enumerate(keys)])
-    cut = freq.join(marks, cond, "inner").drop(*[f"__k{i}" for i in range(len(keys))])
+    stats = {
+        "__marks": F.percentile_approx("__v", cuts, 10000),
+        "__total": F.sum("__n"),
+    }
+    if by:
+        cut = with_group_stat(freq, by, stats)
+    else:
+        cut = freq.withColumns({n: freq.agg(c).scalar() for n, c in stats.items()})
     part = F.size(F.filter("__marks", lambda m: m <= F.col("__v")))
     cut = cut.withColumn("__part", part).drop("__marks")
     ranked = running_sum(cut, keys, ["__v"], F.col("__part"), "__n", "__upto")
@@ -196,10 +198,6 @@ def quantiles(
     return out.select(*by, *picked)
 
 
-def _prefixed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)], "__v", "__n")
-
-
 def five_number(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Minimum, quartiles, maximum, mean and count per group."""
     q = quantiles(df, by, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
@@ -213,13 +211,13 @@ def five_number(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 def join_stats(a: DataFrame, b: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
     """Put two per-group tables side by side (null-safe on the group key)."""
-    if not by:
-        a, b, by = a.withColumn("__one", F.lit(1)), b.withColumn("__one", F.lit(1)), ["__one"]
+    if not by:  # two one-row tables
+        return a.withColumns({c: b.select(c).scalar() for c in b.columns})
     right = b
     for i, c in enumerate(by):
         right = right.withColumnRenamed(c, f"__k{i}")
     cond = null_safe(a, right, [(c, f"__k{i}") for i, c in enumerate(by)])
-    return a.join(right, cond, how).drop(*[f"__k{i}" for i in range(len(by))], "__one")
+    return a.join(right, cond, how).drop(*[f"__k{i}" for i in range(len(by))])
 
 
 def histogram(
