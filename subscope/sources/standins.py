@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from ..operators.ordered import sequence_number
 
 MONEY = "decimal(12,2)"
-CODE_LINES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# (l_orderkey, l_linenumber) repeats; this order is total.
+LINE_ORDER = [*LINE_KEY, "l_shipdate", "l_extendedprice", "l_quantity"]
 
 
 class Inputs:
@@ -45,7 +47,7 @@ class Inputs:
     @cached_property
     def terms(self) -> DataFrame:
         numbered = sequence_number(
-            self.order_lines, ["ref"], ["orderdate", *CODE_LINES],
+            self.order_lines, ["ref"], ["orderdate", *LINE_ORDER],
             F.trunc("orderdate", "month"), "termnumber",
         )
         annual = F.col("l_returnflag") == "N"
@@ -148,7 +150,8 @@ class Inputs:
         taxed = F.col("l_tax") > 0
         ref = F.col("o_custkey") * 10 + F.col("l_partkey") % 4
         return j.select(
-            F.concat_ws("-", *[F.col(c).cast("string") for c in CODE_LINES]).alias("invoiceid"),
+            F.concat_ws("-", *[F.col(c).cast("string") for c in LINE_KEY],
+                        F.col("l_quantity").cast("int").cast("string")).alias("invoiceid"),
             (F.lit(1000000) + ref).alias("subscriptionid"),
             (F.lit(500000) + F.col("o_custkey")).alias("customeraccountid"),
             F.when(flag == "R", "Liability adjustment").when(flag == "A", "null")
@@ -331,7 +334,8 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
             as billtoaddresscode,
           l_orderkey as ordernumber, ref as subscriptionreference,
           row_number() over (partition by ref
-            order by orderdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) as termnumber,
+            order by orderdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
+              l_extendedprice, l_quantity) as termnumber,
           'P' || cast(l_partkey % 4 + 1 as varchar) as publicationcode,
           orderdate, orderdate as startissuedate,
           cast(orderdate + (case when l_returnflag = 'N' then 364 else 28 end) as date)
@@ -377,7 +381,7 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
         group by ref, o_custkey, r_name, c_acctbal, c_mktsegment, l_partkey % 4"""),
     "invoice": ((), """
         select l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
-            as invoiceid,
+            || '-' || cast(l_quantity as int) as invoiceid,
           1000000 + o_custkey * 10 + l_partkey % 4 as subscriptionid,
           500000 + o_custkey as customeraccountid,
           case l_returnflag when 'R' then 'Liability adjustment' when 'A' then 'null'
