@@ -372,6 +372,44 @@ def _(t):
          (t.second_map.withColumnRenamed("uid", "id"), "id", "mapped_key")], "ref_id")
 
 
+@query("f18_prefer", "subscriptionid:l invoiceid:s start_date:t price:m",
+       ["subscription", "invoice"], """
+    select s.subscriptionid, i.invoiceid, coalesce(i.periodstart, s.currentperiodstart)
+      as start_date, coalesce(i.planamount, s.price) as price
+    from subscription s left join invoice i on i.subscriptionid = s.subscriptionid""")
+def _(t):
+    s, i = t.subscription.alias("s"), t.invoice.alias("i")
+    both = s.join(i, F.col("i.subscriptionid") == F.col("s.subscriptionid"), "left")
+    return both.select(
+        "s.subscriptionid", "i.invoiceid",
+        x.prefer("i.periodstart", "s.currentperiodstart").alias("start_date"),
+        x.prefer("i.planamount", "s.price").alias("price"))
+
+
+@query("j19_same_name_columns", "subscription_id:l offered:s held:s", [
+       "recommendation", "snapshot"], """
+    select r.subscription_id, r.product_id || '/' || r.billing_method as offered,
+      s.product_id || '/' || s.billing_method as held
+    from recommendation r join snapshot s on s.pelcro_subscription_id = r.subscription_id""")
+def _(t):
+    a, b = t.recommendation.alias("r"), t.snapshot.alias("s")
+    both = a.join(b, F.col("r.subscription_id") == F.col("s.pelcro_subscription_id"))
+    return both.select(
+        "subscription_id", F.concat_ws("/", "r.product_id", "r.billing_method").alias("offered"),
+        F.concat_ws("/", "s.product_id", "s.billing_method").alias("held"))
+
+
+@query("j22_event_after_reference", "subscriptionreference:l termnumber:l orderdate:t",
+       ["terms", "header"], """
+    select t.subscriptionreference, termnumber, orderdate from terms t
+    join header h on h.subscriptionreference = t.subscriptionreference
+    where orderdate >= firstissuesent + 365""")
+def _(t):
+    both = t.terms.join(t.header.select("subscriptionreference", "firstissuesent"),
+                        "subscriptionreference")
+    return both.where(F.col("orderdate") >= F.date_add("firstissuesent", 365))
+
+
 # --- aggregates ------------------------------------------------------------------------------------
 
 
@@ -472,6 +510,42 @@ def _(t):
     return o.five_number(t.terms, ["brand"], "rate")
 
 
+@query("a7_median_spread", "brand:s median:d sd:d var:d", ["terms"], """
+    select brand, median(copies) as median, stddev_samp(copies) as sd, var_samp(copies) as var
+    from terms group by 1""")
+def _(t):
+    spread = t.terms.groupBy("brand").agg(
+        F.stddev_samp("copies").alias("sd"), F.var_samp("copies").alias("var"))
+    return o.join_stats(spread, o.quantiles(t.terms, ["brand"], "copies", [0.5], ["median"]),
+                        ["brand"])
+
+
+@query("a12_share_of_grand_total", "publicationcode:s n:l total:l share:d", ["terms"], """
+    select publicationcode, count(*) as n, sum(count(*)) over () as total,
+      count(*) * 100.0 / sum(count(*)) over () as share from terms group by 1""")
+def _(t):
+    return g.share_of(t.terms.groupBy("publicationcode").agg(F.count(F.lit(1)).alias("n")),
+                      [], "n")
+
+
+@query("a13_two_level", "brand:s orders:l mean_lines:d", ["terms"], """
+    select brand, count(*) as orders, avg(n) as mean_lines from (
+      select brand, ordernumber, count(*) as n from terms group by 1, 2) a group by 1""")
+def _(t):
+    per_order = t.terms.groupBy("brand", "ordernumber").agg(F.count(F.lit(1)).alias("n"))
+    return per_order.groupBy("brand").agg(F.count(F.lit(1)).alias("orders"),
+                                          F.avg("n").alias("mean_lines"))
+
+
+@query("a19_distinct_channels", "visitor_id:l n_channels:l", ["hits"], """
+    select visitor_id, count(distinct referrer_type) as n_channels from hits group by 1""")
+def _(t):
+    kinds = ["other web sites", "search engines", "social networks", "typed/bookmarked"]
+    wide = t.hits.groupBy("visitor_id").agg(*[
+        F.count(F.when(F.col("referrer_type") == k, 1)).alias(k) for k in kinds])
+    return r.distinct_channels(wide, ["visitor_id"], kinds, "n_channels")
+
+
 # --- sequences ----------------------------------------------------------------------------------------
 
 
