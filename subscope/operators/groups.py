@@ -9,23 +9,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 
-def null_safe(df: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    cond = F.lit(True)
-    for i, (a, b) in enumerate(pairs):
-        eq = df[a].eqNullSafe(right[b])
-        cond = eq if i == 0 else cond & eq
-    return cond
+def key_of(cols: Sequence[str | Column]) -> Column:
+    """One key column of several. Null parts compare as equal, and grouping and
+    joining by the same column need one shuffle between them."""
+    return F.struct(*[
+        (F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(cols)
+    ])
 
 
-def _renamed_stat(df: DataFrame, by: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    keys = [f"__k{i}" for i in range(len(by))]
-    return df.groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys)]).agg(*aggs)
+def group_stats(df: DataFrame, by: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+    """Group aggregates under one key column, ready to be joined back."""
+    return df.groupBy(key_of(by).alias("__key")).agg(*aggs)
+
+
+def join_stats_back(df: DataFrame, by: Sequence[str], stats: DataFrame) -> DataFrame:
+    return df.join(stats, key_of([df[c] for c in by]) == stats["__key"], "inner").drop("__key")
 
 
 def _keep_extreme(df: DataFrame, by: Sequence[str], key: str, agg) -> DataFrame:
-    best = _renamed_stat(df, by, [agg(key).alias("__best")])
-    cond = null_safe(df, best, [(c, f"__k{i}") for i, c in enumerate(by)])
-    return df.join(best, cond & (df[key] == best["__best"]), "left_semi")
+    best = group_stats(df, by, [agg(key).alias("__best")])
+    same = key_of([df[c] for c in by]) == best["__key"]
+    return df.join(best, same & (df[key] == best["__best"]), "left_semi")
 
 
 def keep_group_max(df: DataFrame, by: Sequence[str], key: str) -> DataFrame:
@@ -43,9 +47,7 @@ def keep_group_min(df: DataFrame, by: Sequence[str], key: str) -> DataFrame:
 
 def with_group_stat(df: DataFrame, by: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
     """Add group aggregates to every row of the group (null keys form a group)."""
-    agg = _renamed_stat(df, by, [c.alias(n) for n, c in stats.items()])
-    cond = null_safe(df, agg, [(c, f"__k{i}") for i, c in enumerate(by)])
-    return df.join(agg, cond, "inner").drop(*[f"__k{i}" for i in range(len(by))])
+    return join_stats_back(df, by, group_stats(df, by, [c.alias(n) for n, c in stats.items()]))
 
 
 def share_of(
@@ -91,6 +93,5 @@ def first_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     """Rows whose key occurs more than once, with the count."""
-    counts = _renamed_stat(df, keys, [F.count(F.lit(1)).alias(name)]).where(F.col(name) > 1)
-    cond = null_safe(df, counts, [(c, f"__k{i}") for i, c in enumerate(keys)])
-    return df.join(counts, cond, "inner").drop(*[f"__k{i}" for i in range(len(keys))])
+    counts = group_stats(df, keys, [F.count(F.lit(1)).alias(name)]).where(F.col(name) > 1)
+    return join_stats_back(df, keys, counts)

@@ -4,20 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .groups import null_safe
+from .groups import key_of
 
 
-def _keys_only(other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return other.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)]).distinct()
+def _keys_only(df: DataFrame, keys: Sequence[str], other: DataFrame, other_keys) -> DataFrame:
+    """The other side's distinct keys, in this side's types."""
+    types = dict(df.dtypes)
+    cast = [F.col(o).try_cast(types[c]) if dict(other.dtypes)[o] != types[c] else F.col(o)
+            for c, o in zip(keys, other_keys or keys)]
+    lost = [c.isNull() & F.col(o).isNotNull() for c, o in zip(cast, other_keys or keys)]
+    kept = other
+    for x in lost:  # a value this side's type cannot hold matches nothing
+        kept = kept.where(~x)
+    return kept.select(key_of(cast).alias("__key")).distinct()
 
 
 def semi_in(df: DataFrame, keys: Sequence[str], other: DataFrame, other_keys=None) -> DataFrame:
     """Rows whose key occurs in ``other``; a null key matches a null key."""
-    ref = _keys_only(other, other_keys or keys)
-    return df.join(ref, null_safe(df, ref, _pairs(keys)), "left_semi")
+    ref = _keys_only(df, keys, other, other_keys)
+    return df.join(ref, key_of([df[c] for c in keys]) == ref["__key"], "left_semi")
 
 
 def anti_on(df: DataFrame, keys: Sequence[str], other: DataFrame, other_keys=None) -> DataFrame:
@@ -25,12 +33,8 @@ def anti_on(df: DataFrame, keys: Sequence[str], other: DataFrame, other_keys=Non
 
     Unlike ``NOT IN``, a null on the other side does not empty the result.
     """
-    ref = _keys_only(other, other_keys or keys)
-    return df.join(ref, null_safe(df, ref, _pairs(keys)), "left_anti")
-
-
-def _pairs(keys: Sequence[str]) -> list[tuple[str, str]]:
-    return [(c, f"__k{i}") for i, c in enumerate(keys)]
+    ref = _keys_only(df, keys, other, other_keys)
+    return df.join(ref, key_of([df[c] for c in keys]) == ref["__key"], "left_anti")
 
 
 def missing_on_either(
@@ -98,7 +102,3 @@ def next_term(
     )
     cond = (df[key] == nxt["__key"]) & (df[number] == nxt["__number"])
     return df.join(nxt, cond, "left").drop("__key", "__number")
-
-
-def add_condition(base: Column | None, extra: Column) -> Column:
-    return extra if base is None else base & extra

@@ -15,13 +15,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..sources.io import stage
-from .groups import null_safe, with_group_stat
+from .groups import join_stats_back, key_of, with_group_stat
 
-_B = "__bucket"
+_K = "__slot"  # key and bucket in one column: grouped, windowed and joined by the same
 
 
-def _by_bucket(by: Sequence[str]) -> list[str]:
-    return [*by, _B]
+def _slotted(df: DataFrame, by: Sequence[str], bucket: Column) -> DataFrame:
+    return df.withColumn(_K, key_of([*by, bucket]))
+
+
+def _along_key(by: Sequence[str]) -> W:
+    """The slots of one key, in order."""
+    return W.partitionBy(*[F.col(f"{_K}.k{i}") for i in range(len(by))]).orderBy(
+        F.col(f"{_K}.k{len(by)}")
+    )
+
+
+def _carried(df: DataFrame, by: Sequence[str], per_slot: Column, carry) -> DataFrame:
+    """One row per slot with what ``carry`` makes of the key's other slots."""
+    slots = df.groupBy(_K).agg(per_slot.alias("__v"))
+    return slots.select(F.col(_K).alias("__to"), carry("__v", _along_key(by)).alias("__carried"))
+
+
+def _join_carried(inside: DataFrame, carried: DataFrame) -> DataFrame:
+    return inside.join(carried, inside[_K] == carried["__to"], "inner").drop("__to", _K)
+
+
+def _sum_before(value: str, along: W) -> Column:
+    return F.sum(value).over(along.rowsBetween(W.unboundedPreceding, -1))
 
 
 def running_sum(
@@ -31,54 +52,32 @@ def running_sum(
 
     ``order`` must be total inside a key; ``bucket`` must not decrease along it.
     """
-    df = df.withColumn(_B, bucket)
-    offsets = _offsets(df, by, F.sum(value))
-    w = W.partitionBy(*_by_bucket(by)).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    df = _slotted(df, by, bucket)
+    w = W.partitionBy(_K).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     inside = df.withColumn(name, F.sum(value).over(w))
-    return _add_offset(inside, offsets, by, name)
+    out = _join_carried(inside, _carried(df, by, F.sum(value), _sum_before))
+    here, before = F.col(name), F.col("__carried")
+    return out.withColumn(name, F.coalesce(here + before, here, before)).drop("__carried")
 
 
 def sequence_number(
     df: DataFrame, by: Sequence[str], order: Sequence[str], bucket: Column, name: str
 ) -> DataFrame:
     """``row_number`` of a key's rows in a total order."""
-    df = df.withColumn(_B, bucket)
-    offsets = _offsets(df, by, F.count(F.lit(1)))
-    w = W.partitionBy(*_by_bucket(by)).orderBy(*order)
-    inside = df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    return _add_offset(inside, offsets, by, name)
-
-
-def _offsets(df: DataFrame, by: Sequence[str], total: Column) -> DataFrame:
-    """Per bucket, the total of the key's earlier buckets (one row per bucket)."""
-    before = W.partitionBy(*by).orderBy(_B).rowsBetween(W.unboundedPreceding, -1)
-    per_bucket = df.groupBy(*_by_bucket(by)).agg(total.alias("__t"))
-    keys = _by_bucket(by)
-    return per_bucket.select(
-        *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)],
-        F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__offset"),
-    )
-
-
-def _add_offset(df: DataFrame, offsets: DataFrame, by: Sequence[str], name: str) -> DataFrame:
-    keys = _by_bucket(by)
-    cond = null_safe(df, offsets, [(c, f"__k{i}") for i, c in enumerate(keys)])
-    out = df.join(offsets, cond, "inner").withColumn(name, F.col(name) + F.col("__offset"))
-    return out.drop(*[f"__k{i}" for i in range(len(keys))], "__offset", _B)
+    df = _slotted(df, by, bucket)
+    inside = df.withColumn(name, F.row_number().over(W.partitionBy(_K).orderBy(*order)))
+    out = _join_carried(inside, _carried(df, by, F.count(F.lit(1)), _sum_before))
+    before = F.coalesce("__carried", F.lit(0))
+    return out.withColumn(name, F.col(name) + before).drop("__carried")
 
 
 def dense_number(
     df: DataFrame, by: Sequence[str], order: str, bucket: Column, name: str
 ) -> DataFrame:
     """``dense_rank`` by ``order``: the distinct values are numbered, then joined back."""
-    values = df.select(*by, order).distinct()
-    numbered = sequence_number(values, by, [order], bucket, name)
     keys = [*by, order]
-    numbered = numbered.select(
-        *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)], name
-    )
-    cond = null_safe(df, numbered, [(c, f"__k{i}") for i, c in enumerate(keys)])
-    return df.join(numbered, cond, "inner").drop(*[f"__k{i}" for i in range(len(keys))])
+    numbered = sequence_number(df.select(*keys).distinct(), by, [order], bucket, name)
+    return join_stats_back(df, keys, numbered.select(key_of(keys).alias("__key"), name))
 
 
 def neighbour(
@@ -91,48 +90,32 @@ def neighbour(
 ) -> DataFrame:
     """Columns of the next (``step=1``) or previous (``step=-1``) row of the key."""
     assert step in (1, -1)
-    df = df.withColumn(_B, bucket)
-    packed = F.struct(*[F.col(src).alias(dst) for dst, src in cols.items()])
-    keys = _by_bucket(by)
     edge_of = F.min_by if step == 1 else F.max_by
     move = F.lead if step == 1 else F.lag
-    edges = df.groupBy(*keys).agg(edge_of(packed, F.struct(*order)).alias("__edge"))
-    edges = edges.select(
-        *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)],
-        move("__edge").over(W.partitionBy(*by).orderBy(_B)).alias("__edge"),
-    )
-    inside = df.withColumn("__near", move(packed).over(W.partitionBy(*keys).orderBy(*order)))
-    cond = null_safe(inside, edges, [(c, f"__k{i}") for i, c in enumerate(keys)])
-    near = F.coalesce(F.col("__near"), F.col("__edge"))
-    out = inside.join(edges, cond, "inner").withColumn("__near", near)
-    out = out.select(*[c for c in df.columns if c != _B], *[
-        F.col(f"__near.{dst}").alias(dst) for dst in cols
-    ])
-    return out
+    packed = F.struct(*[F.col(src).alias(dst) for dst, src in cols.items()])
+    slotted = _slotted(df, by, bucket)
+    inside = slotted.withColumn("__near", move(packed).over(W.partitionBy(_K).orderBy(*order)))
+    edges = _carried(slotted, by, edge_of(packed, F.struct(*order)),
+                     lambda v, along: move(v).over(along))
+    out = _join_carried(inside, edges).withColumn("__near", F.coalesce("__near", "__carried"))
+    return out.select(*df.columns, *[F.col(f"__near.{dst}").alias(dst) for dst in cols])
 
 
 def carry_forward(
     df: DataFrame, by: Sequence[str], order: Sequence[str], bucket: Column, value: str, name: str
 ) -> DataFrame:
     """Last non-null ``value`` at or before each row of the key."""
-    df = df.withColumn(_B, bucket)
-    keys = _by_bucket(by)
-    known = F.col(value).isNotNull()
-    tails = df.groupBy(*keys).agg(
-        F.max_by(F.col(value), F.when(known, F.struct(*order))).alias("__tail")
-    )
-    upto = W.partitionBy(*by).orderBy(_B).rowsBetween(W.unboundedPreceding, -1)
-    tails = tails.select(
-        *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)],
-        F.last("__tail", ignorenulls=True).over(upto).alias("__tail"),
-    )
-    w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    inside = df.withColumn(name, F.last(value, ignorenulls=True).over(w))
-    cond = null_safe(inside, tails, [(c, f"__k{i}") for i, c in enumerate(keys)])
-    out = inside.join(tails, cond, "inner").withColumn(
-        name, F.coalesce(F.col(name), F.col("__tail"))
-    )
-    return out.drop(*[f"__k{i}" for i in range(len(keys))], "__tail", _B)
+    slotted = _slotted(df, by, bucket)
+    w = W.partitionBy(_K).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    inside = slotted.withColumn(name, F.last(value, ignorenulls=True).over(w))
+    last_known = F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order)))
+
+    def last_before(v: str, along: W) -> Column:
+        before = along.rowsBetween(W.unboundedPreceding, -1)
+        return F.last(v, ignorenulls=True).over(before)
+
+    out = _join_carried(inside, _carried(slotted, by, last_known, last_before))
+    return out.withColumn(name, F.coalesce(F.col(name), F.col("__carried"))).drop("__carried")
 
 
 def day_streaks(df: DataFrame, by: Sequence[str], day: str) -> DataFrame:
@@ -213,11 +196,8 @@ def join_stats(a: DataFrame, b: DataFrame, by: Sequence[str], how: str = "inner"
     """Put two per-group tables side by side (null-safe on the group key)."""
     if not by:  # two one-row tables
         return a.withColumns({c: b.select(c).scalar() for c in b.columns})
-    right = b
-    for i, c in enumerate(by):
-        right = right.withColumnRenamed(c, f"__k{i}")
-    cond = null_safe(a, right, [(c, f"__k{i}") for i, c in enumerate(by)])
-    return a.join(right, cond, how).drop(*[f"__k{i}" for i in range(len(by))])
+    right = b.select(key_of(by).alias("__key"), *[c for c in b.columns if c not in by])
+    return a.join(right, key_of([a[c] for c in by]) == right["__key"], how).drop("__key")
 
 
 def histogram(

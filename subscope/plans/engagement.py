@@ -13,10 +13,11 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions.aggregates import distinct_rollup
 from ..functions.columns import bucket, clean_id, is_weekend, ladder, paste, ratio, week_floor
-from ..operators.groups import share_of, with_group_stat
+from ..operators.groups import share_of
 from ..operators.intervals import active_between, live_periods
 from ..operators.joins import resolve_identity
 from ..operators.ordered import cdf_table, day_streaks, five_number, histogram, neighbour
@@ -85,7 +86,8 @@ def visit_rollup(
         .alias("did_subscribe"),
         F.count(F.when(~F.col("article") & known, 1)).alias("n_other_pages"),
     )
-    visits = with_group_stat(visits, VISIT, {"visit_uid": F.max("uid")}).drop("uid")
+    # a visit has at most one row per day and device here, so its window is small
+    visits = visits.withColumn("visit_uid", F.max("uid").over(W.partitionBy(*VISIT))).drop("uid")
     m = ids.withColumnRenamed("uid", "__uid")
     return visits.join(m, visits["visit_uid"] == m["__uid"]).select(
         "ref_id", *VISIT, "hit_date", "device", "n_articles", "clicks_to_article",
