@@ -46,8 +46,15 @@ def _total(name: str, alias: str) -> Column:
     return F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(alias)
 
 
-def _medians(df: DataFrame, by, value: str, **conds: Column) -> list[DataFrame]:
-    return [quantiles(df.where(c), by, value, [0.5], [name]) for name, c in conds.items()]
+def _with_medians(out: DataFrame, rows: DataFrame, by, value: str, **conds: Column) -> DataFrame:
+    """Add the median of ``value`` under each condition, all in one pass."""
+    which = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in conds.items()]))
+    labelled = rows.withColumn("__which", F.explode(which))
+    q = quantiles(labelled, [*by, "__which"], value, [0.5], ["__median"])
+    wide = q.groupBy(*by).agg(*[
+        F.max(F.when(F.col("__which") == n, F.col("__median"))).alias(n) for n in conds
+    ])
+    return join_stats(out, wide, by, "left")
 
 
 def renewal_outcomes(
@@ -145,9 +152,8 @@ def renewal_outcomes_monthly(
         total="contracts",
     )
     out = _outcome_columns(out, by)
-    for m in _medians(c, by, "rate", median_rate_renewed=raised, median_rate_churned=gone):
-        out = join_stats(out, m, by, "left")
-    return out
+    return _with_medians(out, c, by, "rate", median_rate_renewed=raised,
+                         median_rate_churned=gone)
 
 
 def churn_report(outcomes: DataFrame) -> DataFrame:
@@ -192,9 +198,8 @@ def new_orders(
         _mean("r_rate", "mean_rate_renewed"), _mean("c_rate", "mean_rate_churned"),
         _total("revenue", "initial_revenue"),
     )
-    for m in _medians(c, by, "rate", median_rate_renewed=renewed, median_rate_churned=~renewed):
-        out = join_stats(out, m, by, "left")
-    return out
+    return _with_medians(out, c, by, "rate", median_rate_renewed=renewed,
+                         median_rate_churned=~renewed)
 
 
 def product_mix_shift(
