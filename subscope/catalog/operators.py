@@ -552,8 +552,9 @@ def _(t):
 DAY_ORDER = ["startissuedate", "termnumber"]
 
 
-def _month():
-    return F.trunc("startissuedate", "month")
+def _hour():
+    """Bucket of a hit: day and hour."""
+    return F.struct("hit_date", F.floor(F.col("clicks_to_page") / 3600))
 
 
 @query("w1_row_number", "event_id:l n:l", ["hits"], """
@@ -561,14 +562,14 @@ def _month():
       order by hit_date, clicks_to_page, event_id) as n from hits""")
 def _(t):
     return o.sequence_number(t.hits, ["visitor_id"], ["hit_date", "clicks_to_page", "event_id"],
-                             F.col("hit_date"), "n")
+                             _hour(), "n")
 
 
 @query("w2_dense_rank", "event_id:l n:l", ["hits"], """
     select event_id, dense_rank() over (partition by visitor_id order by hit_date) as n
     from hits""")
 def _(t):
-    return o.dense_number(t.hits, ["visitor_id"], "hit_date", F.trunc("hit_date", "week"), "n")
+    return o.dense_number(t.hits, ["visitor_id"], "hit_date", F.col("hit_date"), "n")
 
 
 @query("w3_lead", "subscriptionreference:l termnumber:l next_start:t next_rate:m", ["terms"], """
@@ -577,7 +578,7 @@ def _(t):
     from terms window w as (partition by subscriptionreference
       order by startissuedate, termnumber)""")
 def _(t):
-    return o.neighbour(t.terms, ["subscriptionreference"], DAY_ORDER, _month(),
+    return o.neighbour(t.terms, ["subscriptionreference"], DAY_ORDER, F.col("startissuedate"),
                        {"next_start": "startissuedate", "next_rate": "rate"}, 1)
 
 
@@ -586,7 +587,7 @@ def _(t):
     from hits window w as (partition by visitor_id order by hit_date, clicks_to_page, event_id)""")
 def _(t):
     return o.neighbour(t.hits, ["visitor_id"], ["hit_date", "clicks_to_page", "event_id"],
-                       F.col("hit_date"),
+                       _hour(),
                        {"previous_date": "hit_date", "previous_device": "device"}, -1)
 
 
@@ -594,7 +595,7 @@ def _(t):
     select subscriptionreference, termnumber, sum(rate) over (partition by subscriptionreference
       order by startissuedate, termnumber) as paid from terms""")
 def _(t):
-    return o.running_sum(t.terms, ["subscriptionreference"], DAY_ORDER, _month(), "rate", "paid")
+    return o.running_sum(t.terms, ["subscriptionreference"], DAY_ORDER, F.col("startissuedate"), "rate", "paid")
 
 
 @query("w8_carry_forward", "event_id:l last_referrer:s", ["hits"], """
@@ -603,7 +604,7 @@ def _(t):
     from hits""")
 def _(t):
     return o.carry_forward(t.hits, ["visitor_id"], ["hit_date", "clicks_to_page", "event_id"],
-                           F.col("hit_date"), "referrer_type", "last_referrer")
+                           _hour(), "referrer_type", "last_referrer")
 
 
 @query("w12_continue_termnumber", "subscriptionid:l invoiceid:s termnumber:l",
@@ -617,7 +618,7 @@ def _(t):
         F.max("termnumber").alias("last_term"))
     rows = t.invoice.join(last, F.col("sub") == F.col("subscriptionid"))
     rows = o.sequence_number(rows, ["subscriptionid"], ["paidat", "invoiceid"],
-                             F.trunc("paidat", "month"), "n")
+                             F.col("paidat"), "n")
     return rows.withColumn("termnumber", F.col("last_term") + F.col("n"))
 
 

@@ -3,7 +3,10 @@
 A plain window sends every row of a key to one task. Here the key is cut into
 buckets that follow the order (a month, a day, a value range); rows are
 handled inside a bucket, and one small row per bucket carries the state from
-bucket to bucket. Results equal the plain window's.
+bucket to bucket. Results equal the plain window's. Choose buckets so that one
+key has at most a few thousand (days, hours, hash prefixes): a key's buckets
+meet in one task, its rows never do. A bucket may be a struct, such as day
+and hour.
 """
 
 from __future__ import annotations

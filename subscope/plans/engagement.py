@@ -251,7 +251,7 @@ def visit_gaps(visits: DataFrame) -> DataFrame:
     """Each visit with the same user's previous visit day and device, and the gap in days."""
     out = neighbour(
         visits, ["ref_id", "period"], ["hit_date", "visit_number", "visitor_id", "device"],
-        F.trunc("hit_date", "week"), {"previous_date": "hit_date", "previous_device": "device"},
+        F.col("hit_date"), {"previous_date": "hit_date", "previous_device": "device"},
         -1,
     )
     return out.withColumn("gap", F.datediff("hit_date", "previous_date"))

@@ -48,7 +48,7 @@ class Inputs:
     def terms(self) -> DataFrame:
         numbered = sequence_number(
             self.order_lines, ["ref"], ["orderdate", *LINE_ORDER],
-            F.trunc("orderdate", "month"), "termnumber",
+            F.col("orderdate"), "termnumber",
         )
         annual = F.col("l_returnflag") == "N"
         status, seg = F.col("o_orderstatus"), F.col("c_mktsegment")
