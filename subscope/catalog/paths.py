@@ -295,7 +295,7 @@ def model_input(t):
 
 def scores(t):
     r = model_input(t)
-    return m.score_long(m.fit_multinomial(r, BASIC), r, "product")
+    return m.score_long(m.fit_multinomial(r, BASIC), r)
 
 
 @query("t9_fit_multinomial", "model:s n:l loglik:d log_loss:d")
@@ -329,7 +329,7 @@ def _(t):
 @query("t12_odds_ratios", "category:s predictor:s coefficient:d odds_ratio:d")
 def _(t):
     r = model_input(t)
-    return m.odds_ratios(m.fit_multinomial(r, BASIC), r, "product")
+    return m.odds_ratios(m.fit_multinomial(r, BASIC), r)
 
 
 SCORE = "uid:l purchase_id:l category:s probability:d"

@@ -30,10 +30,10 @@ def fit_multinomial(rows: DataFrame, formula: str, reg: float = 1e-3, iters: int
     return Pipeline(stages=[encode, fit]).fit(rows)
 
 
-def labels_of(model: PipelineModel, rows: DataFrame, label: str) -> list[str]:
-    """Class names in the model's order (alphabetical, as the encoder indexes them)."""
-    n = model.stages[-1].numClasses
-    return [r[0] for r in rows.select(label).distinct().orderBy(label).limit(n).collect()]
+def labels_of(model: PipelineModel, rows: DataFrame) -> list[str]:
+    """Class names in the model's order, from the encoded label's metadata (no job)."""
+    field = model.stages[0].transform(rows).schema["label"]
+    return list(field.metadata["ml_attr"]["vals"])
 
 
 def feature_names(model: PipelineModel, rows: DataFrame) -> list[str]:
@@ -83,11 +83,11 @@ def vif(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def odds_ratios(model: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
+def odds_ratios(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Odds ratio of each predictor per class, against the average class."""
     lr = model.stages[-1]
     coef, names = lr.coefficientMatrix.toArray(), feature_names(model, rows)
-    classes = labels_of(model, rows, label)
+    classes = labels_of(model, rows)
     table = [
         (k, n, float(coef[i, j]), float(np.exp(coef[i, j])))
         for i, k in enumerate(classes) for j, n in enumerate(names)
@@ -97,9 +97,9 @@ def odds_ratios(model: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
     )
 
 
-def score_long(model: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
+def score_long(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """One row per input row and class with the fitted probability."""
-    classes = F.array(*[F.lit(c) for c in labels_of(model, rows, label)])
+    classes = F.array(*[F.lit(c) for c in labels_of(model, rows)])
     scored = model.transform(rows).withColumn("__p", vector_to_array("probability"))
     return scored.select(
         *rows.columns, F.posexplode("__p").alias("__i", "probability")
@@ -108,7 +108,7 @@ def score_long(model: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
 
 def predicted_counts(model: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
     """How often each class is the most likely one, beside how often it occurs."""
-    classes = F.array(*[F.lit(c) for c in labels_of(model, rows, label)])
+    classes = F.array(*[F.lit(c) for c in labels_of(model, rows)])
     top = F.get(classes, F.col("prediction").cast("int"))
     scored = model.transform(rows)
     predicted = scored.groupBy(top.alias("category")).agg(F.count(F.lit(1)).alias("predicted"))
@@ -133,7 +133,7 @@ def effect_grid(
                     F.first(label, ignorenulls=True).alias(label))
     for c, values in levels.items():
         grid = grid.withColumn(c, F.explode(F.array(*[F.lit(v) for v in values])))
-    classes = labels_of(model, rows, label)
+    classes = labels_of(model, rows)
     scored = model.transform(grid).withColumn("__p", vector_to_array("probability"))
     names = F.array(*[F.lit(c) for c in classes])
     return scored.select(*levels, F.posexplode("__p").alias("__i", "probability")).withColumn(

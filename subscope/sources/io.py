@@ -52,6 +52,9 @@ def read_snapshot(spark: SparkSession, root: str, date: str) -> DataFrame:
     return spark.read.parquet(root).where(F.col("snapshot_date") == F.lit(date).cast("date"))
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def stage_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as the cluster names it.
 
@@ -62,9 +65,10 @@ def stage_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="subscope-stage-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="subscope-stage-")
+    return _LOCAL_ROOTS[app]
 
 
 def stage(df: DataFrame) -> DataFrame:

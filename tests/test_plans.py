@@ -386,9 +386,14 @@ def test_model_beats_the_base_rate_and_scores_sum_to_one(choices):
     model = models.fit_multinomial(choices, cp.BASIC)
     loss = models.log_loss(model, choices).first()
     assert loss["n"] == 600 and -loss["loglik"] / 600 < 0.45  # base rate: about 0.66
-    sums = models.score_long(model, choices, "product").groupBy("uid").agg(
+    sums = models.score_long(model, choices).groupBy("uid").agg(
         F.sum("probability").alias("s"), F.count("*").alias("n"))
     assert sums.where("abs(s - 1) > 1e-9 or n <> 2").count() == 0
+    # the rarer class is the one tied to "reg": names must follow the model's own class order
+    by = models.score_long(model, choices).groupBy("access", "category").agg(
+        F.avg("probability").alias("p"))
+    p = {(r["access"], r["category"]): r["p"] for r in by.collect()}
+    assert p["reg", "A"] > 0.8 and p["anonymous", "B"] > 0.8
 
 
 def test_nested_models_and_tables(choices):
@@ -396,7 +401,7 @@ def test_nested_models_and_tables(choices):
             (("simple", "product ~ total_days"), ("access", "product ~ total_days + access"))}
     got = models.compare_models(fits, choices).orderBy("step").collect()
     assert got[1]["lr_statistic"] > 100 and got[1]["lr_df"] == 1
-    odds = models.odds_ratios(fits["access"], choices, "product")
+    odds = models.odds_ratios(fits["access"], choices)
     best = odds.where("category = 'A'").orderBy(F.col("odds_ratio").desc()).first()
     assert best["predictor"].startswith("access") or odds.where(
         "category = 'A' and predictor like 'access%'").first()["odds_ratio"] < 0.2
