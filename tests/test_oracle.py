@@ -29,7 +29,7 @@ def test_matches_oracle(name, spark, con, sf_dir):
         for u, v in zip(a, b):
             if isinstance(u, float) and isinstance(v, float):
                 # a value halfway between two roundings may fall on either side
-                assert u == pytest.approx(v, rel=1e-9, abs=1.1e-6) or abs(u - v) <= 0.0100001
+                assert u == pytest.approx(v, rel=1e-12, abs=1.1e-6)
             else:
                 assert u == v
 
