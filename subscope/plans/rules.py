@@ -16,6 +16,18 @@ class Product:
     name: str
     level: int
     exact: bool = True  # otherwise the code may stand anywhere in the text
+    rate_upto: float | None = None  # only at this price or below
+    rate_is: float | None = None  # only at this price
+
+
+@dataclass(frozen=True)
+class Override:
+    """A product only the new system names; its old terms take this name and level."""
+
+    new_product: str
+    name: str
+    level: int
+    code: str | None = None  # only terms with this code
 
 
 @dataclass(frozen=True)
@@ -36,18 +48,25 @@ class Rules:
     bridge_dates: bool = True
     header: str = "left"  # or "inner"
     liability_pays: str = "amountpaid"  # or "rate"
+    override: Override | None = None
 
-    def _match(self, p: Product, code: Column) -> Column:
-        return code == p.code if p.exact else code.contains(p.code)
+    def _match(self, p: Product, code: Column, rate) -> Column:
+        hit = code == p.code if p.exact else code.contains(p.code)
+        if p.rate_upto is not None:
+            hit = hit & (col(rate) <= p.rate_upto)
+        if p.rate_is is not None:
+            hit = hit & (col(rate) == p.rate_is)
+        return hit
 
-    def product(self, code) -> Column:
-        return ladder([(self._match(p, col(code)), p.name) for p in self.products])
+    def product(self, code, rate="rate") -> Column:
+        return ladder([(self._match(p, col(code), rate), p.name) for p in self.products])
 
-    def level(self, code) -> Column:
-        return ladder([(self._match(p, col(code)), p.level) for p in self.products])
+    def level(self, code, rate="rate") -> Column:
+        return ladder([(self._match(p, col(code), rate), p.level) for p in self.products])
 
     def name_of_level(self, level) -> Column:
-        return ladder([(col(level) == p.level, p.name) for p in self.products])
+        named = [*self.products, *([self.override] if self.override else [])]
+        return ladder([(col(level) == p.level, p.name) for p in named])
 
     def term_bucket(self, weeks) -> Column:
         steps = [(col(weeks) < self.monthly_below, "Monthly")]
@@ -72,6 +91,7 @@ BRANDS: dict[str, Rules] = {
             Product("AA", "Premium", 2),
             Product("AAD", "Digital All Access", 4),
         ),
+        override=Override("All Access", "All Access", 3, code="AA"),
     ),
     "CD": Rules(
         (Product("CDW", "Basic Digital", 1), Product("CD", "Premium", 2)),
@@ -87,7 +107,14 @@ BRANDS: dict[str, Rules] = {
         ),
         annual_from=52, anchor="earliest", bridge_dates=False, header="inner",
     ),
-    "CL": Rules((Product("CLW", "Basic Digital", 1), Product("CL", "Premium", 2))),
+    "CL": Rules(
+        (
+            Product("CLW", "Basic Digital", 1),
+            Product("CL", "Premium", 2, rate_upto=99),
+            Product("CL", "All Access", 3, rate_is=499),
+        ),
+        override=Override("Digital & Data", "Digital & Data", 4),
+    ),
     "CB": Rules(
         (
             Product("CB1", "CB1", 1), Product("CB2", "CB2", 2),

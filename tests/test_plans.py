@@ -46,6 +46,24 @@ def test_product_codes_and_levels(spark):
     assert got["CN"] == [("Basic Digital", 1), ("Health Pulse", 3)]
 
 
+def test_prices_and_overrides_name_products(spark):
+    df = spark.createDataFrame([("CL", 99.0), ("CL", 499.0), ("CL", 200.0), ("CLW", 5.0)],
+                               "c string, rate double")
+    cl = BRANDS["CL"]
+    assert [tuple(r) for r in df.select(cl.product("c"), cl.level("c")).collect()] == [
+        ("Premium", 2), ("All Access", 3), (None, None), ("Basic Digital", 1)]
+    base = spark.createDataFrame(
+        [(1, "AA", "Premium", 2), (1, "AAZ", "Standard", 1), (2, "AA", "Premium", 2)],
+        "subscriptionreference bigint, publicationcode string, product string, pub_level int")
+    sub = spark.createDataFrame([("x1", "All Access"), ("x2", "Other"), (None, "All Access")],
+                                "oldproviderid string, productname string")
+    got = history.product_override(base, sub, BRANDS["AA"].override)
+    assert rows(got, "subscriptionreference", "publicationcode", "product", "pub_level") == [
+        (1, "AA", "All Access", 3), (1, "AAZ", "Standard", 1), (2, "AA", "Premium", 2)]
+    names = spark.range(1, 5).select(BRANDS["AA"].name_of_level("id")).collect()
+    assert [r[0] for r in names] == ["Standard", "Premium", "All Access", "Digital All Access"]
+
+
 def test_term_buckets_differ_by_brand(spark):
     df = spark.createDataFrame([(4,), (8,), (50,), (52,)], "w int")
     bucket = lambda b: [r[0] for r in df.select(BRANDS[b].term_bucket("w")).collect()]
