@@ -198,7 +198,10 @@ def five_number(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 def join_stats(a: DataFrame, b: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
     """Put two per-group tables side by side (null-safe on the group key)."""
     if not by:  # two one-row tables
-        return a.withColumns({c: b.select(c).scalar() for c in b.columns})
+        row = b.select(F.struct(*b.columns)).scalar()
+        return a.withColumn("__row", row).select(
+            *a.columns, *[F.col(f"__row.{c}").alias(c) for c in b.columns]
+        )
     right = b.select(key_of(by).alias("__key"), *[c for c in b.columns if c not in by])
     return a.join(right, key_of([a[c] for c in by]) == right["__key"], how).drop("__key")
 
