@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_quality, mixing, packing, quality_rules
+from . import line_quality, main_text, mixing, packing, personal_data, quality_rules
 from .common import read
 
 
@@ -27,6 +27,13 @@ def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read(spark, sf_dir, "documents"), vocabulary()))
 
 
+def op6_semi_markov_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *(personal_data.counted(F.col("base"), k).alias(f"n_{k}") for k in personal_data.KINDS),
+        F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op7_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -39,8 +46,14 @@ def op8_robust_outlier_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "distance")
 
 
+def op9_host_suffix_array_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(read(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", "n_chars", "has_article", "n_boilerplate")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pareto_mix, op5_power_of_two_packing, op7_line_crf_quality, op8_robust_outlier_rules)}
+        op1_pareto_mix, op5_power_of_two_packing, op6_semi_markov_personal_data, op7_line_crf_quality,
+        op8_robust_outlier_rules, op9_host_suffix_array_text)}
 
 ORACLE: dict[str, str] = {"op1_pareto_mix": mixing.oracle("documents")}
