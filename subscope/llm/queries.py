@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_quality, main_text, mixing, packing, personal_data, quality_rules
+from . import (
+    captures, line_quality, main_text, mixing, packing, personal_data, quality_rules, temporal_lists)
 from .common import read
 
 
@@ -23,6 +24,22 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_two_level_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    records = captures.archive(pages).captures(pages)
+    return records.select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes",
+        # Of what was read back; a revisit holds no payload, its header names the digest.
+        F.coalesce(F.sha1("payload"), "payload_digest").alias("payload_digest"),
+        "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op4_temporal_list_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    entries = temporal_lists.intervals(temporal_lists.list_events(pages))
+    return temporal_lists.judge(temporal_lists.capture_days(pages), entries)
+
+
 def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read(spark, sf_dir, "documents"), vocabulary()))
 
@@ -53,7 +70,11 @@ def op9_host_suffix_array_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pareto_mix, op5_power_of_two_packing, op6_semi_markov_personal_data, op7_line_crf_quality,
+        op1_pareto_mix, op3_two_level_capture_index, op4_temporal_list_join, op5_power_of_two_packing, op6_semi_markov_personal_data, op7_line_crf_quality,
         op8_robust_outlier_rules, op9_host_suffix_array_text)}
 
-ORACLE: dict[str, str] = {"op1_pareto_mix": mixing.oracle("documents")}
+ORACLE: dict[str, str] = {
+    "op1_pareto_mix": mixing.oracle("documents"),
+    "op3_two_level_capture_index": captures.ORACLE,
+    "op4_temporal_list_join": temporal_lists.ORACLE,
+}
