@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from subscope.sources.io import stage
 
-__all__ = ["stage", "read", "shipped", "words_of", "WORD", "in_blocks", "components"]
+__all__ = ["stage", "read", "shipped", "words_of", "WORD", "in_blocks", "components", "units", "forest", "sized_join"]
 
 #: A word: a run of characters other than the six ASCII white spaces.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -71,6 +71,15 @@ def in_blocks(members: DataFrame, group: str, key: str, block: int) -> DataFrame
             .drop("n_blocks", "other"))
 
 
+#: Rows up to which a written table may be broadcast.
+SMALL = 300_000
+
+
+def sized_join(big: DataFrame, written: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with a written table of narrow rows: broadcast if it was counted small, else shuffled."""
+    return big.join(F.broadcast(written) if written.count() <= SMALL else written, on, how)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that links ``u``-``v`` reach, for each node of an edge.
 
@@ -102,3 +111,47 @@ def components(edges: DataFrame) -> DataFrame:
         mark = tuple(seen)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def units(batches, cols):
+    """Runs of equal ``cols`` in sorted batches, as dicts of numpy columns; a run may span batches."""
+    import numpy as np
+
+    held = None
+    for batch in batches:
+        data = {c: batch[c].to_numpy() for c in batch.columns}
+        if held is not None:
+            data = {c: np.concatenate([held[c], v]) for c, v in data.items()}
+        n = len(data[cols[0]])
+        if not n:
+            continue
+        change = np.zeros(n - 1, dtype=bool)
+        for c in cols:
+            change |= data[c][1:] != data[c][:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        for a, b in zip(cuts, cuts[1:]):
+            yield {c: v[a:b] for c, v in data.items()}
+        held = {c: v[cuts[-1]:] for c, v in data.items()}
+    if held is not None:
+        yield held
+
+
+def forest(linked):
+    """For each row of a symmetric boolean matrix, a row it hangs on: itself for the first of its component."""
+    import numpy as np
+
+    n = len(linked)
+    parent = np.arange(n)
+    new = np.ones(n, dtype=bool)
+    for root in range(n):
+        if not new[root]:
+            continue
+        new[root] = False
+        front = [root]
+        while front:
+            at = front.pop()
+            found = np.flatnonzero(linked[at] & new)
+            parent[found] = at
+            new[found] = False
+            front.extend(found.tolist())
+    return parent

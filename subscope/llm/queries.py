@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    captures, line_quality, main_text, mixing, packing, personal_data, quality_rules, temporal_lists)
+    captures, line_quality, main_text, mixing, packing, personal_data, quality_rules, shingle_join,
+    temporal_lists)
 from .common import read
 
 
@@ -68,10 +69,15 @@ def op9_host_suffix_array_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", "n_chars", "has_article", "n_boilerplate")
 
 
+def op10_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.join(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pareto_mix, op3_two_level_capture_index, op4_temporal_list_join, op5_power_of_two_packing, op6_semi_markov_personal_data, op7_line_crf_quality,
-        op8_robust_outlier_rules, op9_host_suffix_array_text)}
+        op8_robust_outlier_rules, op9_host_suffix_array_text,
+        op10_lsh_forest_join)}
 
 ORACLE: dict[str, str] = {
     "op1_pareto_mix": mixing.oracle("documents"),
