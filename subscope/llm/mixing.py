@@ -18,10 +18,12 @@ in which the remainder ends are ordered.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stage
+from .common import SMALL, WORD, stage
 
 #: Rounds after the first in which documents that still fit are taken.
 FILLS = 3
@@ -66,9 +68,10 @@ def _uniform(key: Column, seed: str) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(2.0 ** 52)
 
 
-def _take_round(rows: DataFrame, rooms: DataFrame) -> DataFrame:
+def _take_round(rows: DataFrame, rooms: DataFrame, narrow: Callable) -> DataFrame:
     """``rows`` with more of them marked ``sampled``; ``rooms``: source, room, n_docs."""
-    rows = rows.join(rooms, F.col("source").eqNullSafe(F.col("room_source")), "left").drop("room_source")
+    # One row for each source: broadcast where the caller counted few of them.
+    rows = rows.join(narrow(rooms), F.col("source").eqNullSafe(F.col("room_source")), "left").drop("room_source")
     fits = ~F.col("sampled") & (F.col("size") > 0) & (F.col("size") <= F.col("room"))
     fine = F.ceil(F.col("n_docs") / 1e6) * 64
     rows = rows.withColumn("cell", F.when(fits, F.floor(F.log2("rank_value") * fine)))
@@ -78,7 +81,7 @@ def _take_round(rows: DataFrame, rooms: DataFrame) -> DataFrame:
     cells = cells.withColumn("upto", F.sum("words").over(upto)).where("upto > room")
     ends = cells.groupBy(F.col("source").alias("end_source")).agg(
         F.min(F.struct("cell", (F.col("upto") - F.col("words")).alias("before"))).alias("end"))
-    rows = rows.join(ends, F.col("source").eqNullSafe(F.col("end_source")), "left")
+    rows = rows.join(narrow(ends), F.col("source").eqNullSafe(F.col("end_source")), "left")
     at_end = F.coalesce(F.col("cell") == F.col("end.cell"), F.lit(False))
     keep = ("doc_id", "source", "size", "rank_value", "sampled")
     sure = rows.where(~at_end).withColumn(
@@ -123,6 +126,8 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_copies: int
         "whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
         .otherwise(F.lit(0)).cast("long")).withColumn(
         "rest", F.floor(F.col("target") - F.col("whole") * F.col("source_size")).cast("long")))
+    few = goal.count() <= SMALL
+    narrow = F.broadcast if few else lambda df: df
     for turn in range(1 + FILLS):
         rooms = goal.select(F.col("source").alias("room_source"), F.col("rest").alias("room"), "n_docs")
         if turn:
@@ -130,10 +135,10 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_copies: int
                 F.sum("size").alias("done"))
             rooms = rooms.join(done, F.col("room_source").eqNullSafe(F.col("done_source")), "left").select(
                 "room_source", (F.col("room") - F.coalesce("done", F.lit(0))).alias("room"), "n_docs")
-        rows = _take_round(rows, rooms)
+        rows = _take_round(rows, rooms, narrow)
     goal = goal.select(F.col("source").alias("goal_source"), "source_size", "target", "whole")
     copies = F.col("whole") + F.col("sampled").cast("long")
-    return rows.join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).select(
+    return rows.join(narrow(goal), F.col("source").eqNullSafe(F.col("goal_source"))).select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).alias("taken"))
 

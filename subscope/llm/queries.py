@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    captures, line_quality, main_text, mixing, packing, personal_data, quality_rules, shingle_join,
-    temporal_lists)
+    captures, line_quality, main_text, mixing, neighbour_graph, packing, personal_data, quality_rules,
+    shingle_join, temporal_lists)
 from .common import read
 
 
@@ -25,6 +25,10 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_neighbour_descent_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_graph.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op3_two_level_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     records = captures.archive(pages).captures(pages)
@@ -75,7 +79,7 @@ def op10_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pareto_mix, op3_two_level_capture_index, op4_temporal_list_join, op5_power_of_two_packing, op6_semi_markov_personal_data, op7_line_crf_quality,
+        op1_pareto_mix, op2_neighbour_descent_near_dedup, op3_two_level_capture_index, op4_temporal_list_join, op5_power_of_two_packing, op6_semi_markov_personal_data, op7_line_crf_quality,
         op8_robust_outlier_rules, op9_host_suffix_array_text,
         op10_lsh_forest_join)}
 
