@@ -13,6 +13,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
     ("line_crf_quality", stages.quality),
+    ("lsh_forest_near_duplicates", stages.near_duplicates),
+    ("semi_markov_personal_data", stages.personal),
+    ("pareto_mix", stages.mix),
+    ("power_of_two_packing", stages.pack),
 ]
 
 #: Fitted fields, signatures and token ids have no SQL; tests hold the stages against plain Python.

@@ -272,13 +272,13 @@ def kept_once(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     placed = rows.join(classes.select("print", "group_first"), "print").withColumn(
         "is_first", F.col("doc_id").eqNullSafe(F.col("group_first.doc_id"))
         & (F.col("text_hash") == F.col("group_first.text_hash")))
-    key = (F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    key = (F.col("doc_id").alias("__near_id"), F.col("text_hash").alias("__near_hash"))
     others = stage(placed.where("NOT is_first").select(*key).distinct())
     # The least id and text in several rows: one of them stays.
     again = stage(placed.where("is_first").groupBy(*key).count().where("count > 1").select(
-        "_id", "_hash", F.lit(True).alias("_again")))
-    own = docs.withColumn("_own", F.xxhash64(F.col(text_col)))
-    same = (F.col("_own") == F.col("_hash")) & F.col(id_col).eqNullSafe(F.col("_id"))
-    left = sized_join(sized_join(own, others, same, "left_anti"), again, same, "left").drop("_id", "_hash", "_own")
-    return left.where("_again IS NULL").drop("_again").unionByName(
-        left.where("_again").drop("_again").dropDuplicates([id_col, text_col]))
+        "__near_id", "__near_hash", F.lit(True).alias("__near_again")))
+    own = docs.withColumn("__near_own", F.xxhash64(F.col(text_col)))
+    same = (F.col("__near_own") == F.col("__near_hash")) & F.col(id_col).eqNullSafe(F.col("__near_id"))
+    left = sized_join(sized_join(own, others, same, "left_anti"), again, same, "left").drop("__near_id", "__near_hash", "__near_own")
+    return left.where("__near_again IS NULL").drop("__near_again").unionByName(
+        left.where("__near_again").drop("__near_again").dropDuplicates([id_col, text_col]))

@@ -68,8 +68,9 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     ``entries``: the intervals. ``lists``: the names of lists with an active
     entry, sorted, joined by commas; ``n_entries``: such entries. A capture
     without a URL or a day matches nothing. Rows stay as they are, repeated
-    ones too.
+    ones too; columns of the new names are replaced.
     """
+    captures = captures.drop("asked_url", "asked_day", "lists", "n_entries", "blocked")
     asked = captures.select(F.col("url").alias("asked_url"), F.col("day").alias("asked_day")).where(
         "asked_url IS NOT NULL AND asked_day IS NOT NULL").distinct()
     entries = stage(entries)
