@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from subscope.sources.io import stage_root
 
-from .common import shipped, stage
+from .common import frame, shipped, stage
 
 #: Payloads below are never stored as revisits.
 LEAST_BYTES = 1000
@@ -129,7 +129,7 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
                 out.write(member)
                 lines.append((surt(url), page, name, at, len(member)))
                 at += len(member)
-            yield pd.DataFrame(lines, columns=["key", "page_id", "file", "offset", "length"])
+            yield frame(lines, ["key", "page_id", "file", "offset", "length"])
         if out is not None:
             out.close()
 
@@ -172,7 +172,7 @@ def write_index(entries: DataFrame, folder: str, block: int = BLOCK) -> DataFram
             out.close()
             with store.open_output_stream(f"{root}/{name}.dir.gz", compression=None) as side:
                 side.write(gzip.compress("\n".join(directory).encode(), 6, mtime=0))
-            yield pd.DataFrame([(name, low, high)], columns=["file", "low", "high"])
+            yield frame([(name, low, high)], ["file", "low", "high"])
 
     # Ties of a key spread over ranges by place, so no key fills one index file.
     order = ("key", "file", "offset")
@@ -204,7 +204,7 @@ class Archive:
                         if top[k][2] >= key:
                             out.append((top[k][0], key))
                         k += 1
-                yield pd.DataFrame(out, columns=["index_file", "key"])
+                yield frame(out, ["index_file", "key"])
 
         def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             store, root = _folder(folder)
@@ -230,7 +230,7 @@ class Archive:
                             out.append((lines[k][1], int(lines[k][2]), int(lines[k][3])))
                             k += 1
                         b += 1
-                yield pd.DataFrame(out, columns=["file", "offset", "length"])
+                yield frame(out, ["file", "offset", "length"])
 
         asked = keys.select("key").distinct().mapInPandas(route, "index_file string, key string")
         return asked.repartition("index_file").sortWithinPartitions("index_file", "key").mapInPandas(
@@ -254,9 +254,9 @@ class Archive:
                     out.append(tuple(got[n] for n in names))
                     held += got["payload_bytes"]
                     if held > 16_000_000:
-                        yield pd.DataFrame(out, columns=names)
+                        yield frame(out, names)
                         out, held = [], 0
-                yield pd.DataFrame(out, columns=names)
+                yield frame(out, names)
 
         return places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInPandas(
             fetch, "page_id string, url string, record_type string, refers_to string, payload_bytes long, "

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from subscope.sources.io import stage
 
-__all__ = ["stage", "read", "shipped", "words_of", "WORD", "in_blocks", "components", "units", "forest", "sized_join"]
+__all__ = ["stage", "read", "shipped", "words_of", "WORD", "in_blocks", "components", "units", "forest", "frame", "sized_join"]
 
 #: A word: a run of characters other than the six ASCII white spaces.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -113,6 +113,14 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def frame(rows, names):
+    """A pandas frame of row tuples whose columns stay plain objects, as Arrow wants them."""
+    import pandas as pd
+
+    columns = list(zip(*rows)) if rows else [()] * len(names)
+    return pd.DataFrame({n: pd.Series(list(c), dtype=object) for n, c in zip(names, columns)}, columns=list(names))
+
+
 def units(batches, cols):
     """Runs of equal ``cols`` in sorted batches, as dicts of numpy columns; a run may span batches."""
     import numpy as np

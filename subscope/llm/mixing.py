@@ -72,7 +72,7 @@ def _take_round(rows: DataFrame, rooms: DataFrame, narrow: Callable) -> DataFram
     """``rows`` with more of them marked ``sampled``; ``rooms``: source, room, n_docs."""
     # One row for each source: broadcast where the caller counted few of them.
     rows = rows.join(narrow(rooms), F.col("source").eqNullSafe(F.col("room_source")), "left").drop("room_source")
-    fits = ~F.col("sampled") & (F.col("size") > 0) & (F.col("size") <= F.col("room"))
+    fits = ~F.col("sampled") & F.col("rank_value").isNotNull() & (F.col("size") > 0) & (F.col("size") <= F.col("room"))
     fine = F.ceil(F.col("n_docs") / 1e6) * 64
     rows = rows.withColumn("cell", F.when(fits, F.floor(F.log2("rank_value") * fine)))
     cells = rows.where("cell IS NOT NULL").groupBy("source", "cell").agg(
@@ -108,14 +108,14 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_copies: int
 
     ``odds``: what inclusion odds are proportional to, over these columns; the
     size by default. Null ids share one hash value; rows that tie are taken in
-    any order, which the result does not show. Documents without words and
-    sources without words have a target of 0 and are never taken. Every row
+    any order, which the result does not show. Documents without words or odds and
+    sources without words are never sampled; without words the target is 0. Every row
     gives one row; other columns of the input are not read.
     """
     odds = F.col("size").cast("double") if odds is None else odds
     u = _uniform(F.col("doc_id"), seed)
     rows = stage(sizes.select(
-        "doc_id", "source", "size", (u / (1 - u) / odds).alias("rank_value"),
+        "doc_id", "source", "size", F.when(odds > 0, u / (1 - u) / odds).alias("rank_value"),
         F.lit(False).alias("sampled")))
     per_source = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
@@ -137,7 +137,7 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_copies: int
                 "room_source", (F.col("room") - F.coalesce("done", F.lit(0))).alias("room"), "n_docs")
         rows = _take_round(rows, rooms, narrow)
     goal = goal.select(F.col("source").alias("goal_source"), "source_size", "target", "whole")
-    copies = F.col("whole") + F.col("sampled").cast("long")
+    copies = F.when(F.col("size") > 0, F.col("whole") + F.col("sampled").cast("long")).otherwise(F.lit(0).cast("long"))
     return rows.join(narrow(goal), F.col("source").eqNullSafe(F.col("goal_source"))).select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).alias("taken"))

@@ -18,50 +18,85 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shipped
+from .common import frame, shipped
 
-#: Memorised chunks of a Python worker; the memo is emptied beyond that.
-MEMO = 700_000
+#: Chunks, and as many pieces of chunks, that a Python worker memorises.
+MEMO = 600_000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-#: Only these, and the tokenizer's splits fall at single spaces and line ends.
-_UNUSUAL = re.compile(rf"[^\n -~{_LETTERS}]|[\n ][\n ]|\A |[\n ]\Z|<\|")
+#: The characters of an ordinary text: printable ASCII, line ends, and the letters of Latin-1.
+_ORDINARY = bytes(b for b in range(256) if b == 10 or 32 <= b < 127 or b >= 0xC0 and b not in (0xD7, 0xF7))
+#: The vocabulary's public split pattern, over these characters.
+_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte: itself if it prints, else one above 255."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class _Memo(dict):
+    """Remembers up to MEMO results of a function; others are computed again."""
+
+    def __init__(self, of):
+        super().__init__()
+        self._of = of
+
+    def __missing__(self, key):
+        value = self._of(key)
+        if len(self) < MEMO:
+            self[key] = value
+        return value
 
 
 class Encoder:
     """Token ids as little-endian unsigned 32-bit integers.
 
-    The tokenizer never merges across the single spaces and line ends of an
-    ordinary text, so such a text is the concatenation of its chunks, each
-    encoded once and memorised. Any other text (other white space, runs of it,
-    other letters, markers) is encoded whole.
+    In an ordinary text (Latin letters, single spaces and line ends) the
+    tokenizer's splits fall before every space and line end, so the text's ids
+    are those of its chunks in turn, each encoded once and memorised. Any other
+    text is encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_file(path)
-        self._memo: dict[str, bytes] = {}
+        self._model = self._whole.model
+        self._letters = _byte_letters()
+        self._pieces = _Memo(self._piece)
+        self._chunks = _Memo(self._chunk)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        tokens = self._model.tokenize(piece.encode().decode("latin-1").translate(self._letters))
+        return np.array([t.id for t in tokens], dtype="<u4").tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        text = chunk if chunk[0] == "\n" else " " + chunk
+        return b"".join(map(self._pieces.__getitem__, _SPLIT.findall(text)))
+
+    @staticmethod
+    def ordinary(text: str) -> bool:
+        try:
+            if text.encode("latin-1").translate(None, _ORDINARY):
+                return False
+        except UnicodeEncodeError:
+            return False
+        return not (text[0] == " " or text[-1] in " \n" or "<|" in text or "  " in text or "\n\n" in text
+                    or " \n" in text or "\n " in text)
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _UNUSUAL.search(text):
+        if not self.ordinary(text):
             return self._ids(text)
         first, *chunks = text.replace("\n", " \n").split(" ")
-        memo = self._memo
-        if len(memo) > MEMO:
-            memo.clear()
-        out = [self._ids(first)]
-        for chunk in chunks:
-            got = memo.get(chunk)
-            if got is None:
-                got = memo[chunk] = self._ids(chunk if chunk[0] == "\n" else " " + chunk)
-            out.append(got)
-        return b"".join(out)
+        return self._ids(first) + b"".join(map(self._chunks.__getitem__, chunks))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -106,9 +141,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                     start += length
                 held += n
                 if held > 4_000_000:
-                    yield pd.DataFrame(rows, columns=names)
+                    yield frame(rows, names)
                     rows, held = [], 0
-            yield pd.DataFrame(rows, columns=names)
+            yield frame(rows, names)
 
     names = ["doc_id", "start", "length", "ids", "doc_tokens"]
     # An id as text keeps nulls and all 64 bits through pandas.

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shipped, stage, words_of
+from .common import frame, shipped, stage, words_of
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, " \
         "n_upper long, n_marks long, n_distinct long"
@@ -139,7 +139,7 @@ def _solved(moments: DataFrame, floors: tuple[float, ...]) -> DataFrame:
                 cov = (axes * np.maximum(low, 0)) @ axes.T + ridge
                 out.append((grp, center.tolist(), np.linalg.inv(cov).ravel().tolist(),
                             float(np.linalg.slogdet(cov)[1])))
-            yield pd.DataFrame(out, columns=["grp", "center", "precision", "logdet"])
+            yield frame(out, ["grp", "center", "precision", "logdet"])
 
     return moments.mapInPandas(solve, "grp string, center array<double>, precision array<double>, logdet double")
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forest, in_blocks, shipped, sized_join, stage, units, words_of
+from .common import components, forest, frame, in_blocks, shipped, sized_join, stage, units, words_of
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -103,7 +103,7 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                              hashes.astype("u1").tobytes()))
             else:
                 rows.append((None, None, None))
-        return pd.DataFrame(rows, columns=["print", "signature", "light"])
+        return frame(rows, ["print", "signature", "light"])
 
     return shipped(docs).select(
         F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"),
