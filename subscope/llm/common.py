@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from subscope.sources.io import stage
 
-__all__ = ["stage", "read", "shipped", "words_of", "WORD", "in_blocks", "components", "units", "forest", "frame", "sized_join"]
+__all__ = ["stage", "read", "shipped", "words_of", "WORD", "in_blocks", "components", "units", "forest", "frame", "sized_join", "few_rows"]
 
 #: A word: a run of characters other than the six ASCII white spaces.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -80,6 +80,11 @@ def sized_join(big: DataFrame, written: DataFrame, on, how: str = "inner") -> Da
     return big.join(F.broadcast(written) if written.count() <= SMALL else written, on, how)
 
 
+def few_rows(keys: DataFrame):
+    """How to mark tables of one row per key: for broadcast if the keys were counted few, else not at all."""
+    return F.broadcast if keys.count() <= SMALL else lambda df: df
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that links ``u``-``v`` reach, for each node of an edge.
 

@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SMALL, WORD, stage
+from .common import WORD, few_rows, stage
 
 #: Rounds after the first in which documents that still fit are taken.
 FILLS = 3
@@ -126,8 +126,7 @@ def mix(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_copies: int
         "whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
         .otherwise(F.lit(0)).cast("long")).withColumn(
         "rest", F.floor(F.col("target") - F.col("whole") * F.col("source_size")).cast("long")))
-    few = goal.count() <= SMALL
-    narrow = F.broadcast if few else lambda df: df
+    narrow = few_rows(goal)
     for turn in range(1 + FILLS):
         rooms = goal.select(F.col("source").alias("room_source"), F.col("rest").alias("room"), "n_docs")
         if turn:

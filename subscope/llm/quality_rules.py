@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import frame, shipped, stage, words_of
+from .common import few_rows, frame, shipped, sized_join, stage, words_of
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, " \
         "n_upper long, n_marks long, n_distinct long"
@@ -114,7 +114,7 @@ def _grouped(rows: DataFrame, least: int) -> DataFrame:
         rows = rows.withColumn("try", own if level == 0 else F.when(F.col("grp").isNull(), own))
         big = rows.where("try IS NOT NULL").groupBy("try").agg(F.count(F.lit(1)).alias("n")).where(
             F.col("n") >= least).select(F.col("try").alias("big"))
-        rows = rows.join(big, F.col("try") == F.col("big"), "left")
+        rows = sized_join(rows, stage(big), F.col("try") == F.col("big"), "left")
         grp = F.col("big") if level == 0 else F.coalesce("grp", "big")
         rows = rows.withColumn("grp", grp).drop("try", "big")
     return rows
@@ -167,8 +167,9 @@ def mcd(rows: DataFrame, floors: tuple[float, ...] = FLOORS, keep: float = KEEP,
     """
     p = len(floors)
     xs = [f"x{i}" for i in range(p)]
+    narrow = few_rows(rows.select("grp").distinct())
     middle = rows.groupBy("grp").agg(*(F.percentile_approx(x, 0.5, 1000).alias(f"m_{x}") for x in xs))
-    wide = rows.join(middle, "grp").groupBy("grp").agg(
+    wide = rows.join(narrow(middle), "grp").groupBy("grp").agg(
         *(F.first(f"m_{x}").alias(f"m_{x}") for x in xs),
         *(F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{x}")), 0.5, 1000).alias(f"d_{x}") for x in xs))
     var = [F.pow(F.col(f"d_{x}") * 1.4826, 2) + f * f for x, f in zip(xs, floors)]
@@ -178,14 +179,14 @@ def mcd(rows: DataFrame, floors: tuple[float, ...] = FLOORS, keep: float = KEEP,
         F.lit(float("inf")).alias("logdet")))
     before = None
     for _ in range(steps):
-        far = rows.join(now.select("grp", "center", "precision"), "grp").withColumn("d2", _distance(p))
+        far = rows.join(narrow(now.select("grp", "center", "precision")), "grp").withColumn("d2", _distance(p))
         cut = far.groupBy("grp").agg(F.percentile_approx("d2", keep, 1000).alias("cut"))
-        now = stage(_solved(_moments(far.join(cut, "grp").where("d2 <= cut"), p), floors))
+        now = stage(_solved(_moments(far.join(narrow(cut), "grp").where("d2 <= cut"), p), floors))
         total = now.agg(F.sum("logdet"), F.count(F.lit(1))).first()
         if total[0] is None or before is not None and before - total[0] < 1e-3 * total[1]:
             break
         before = total[0]
-    far = rows.join(now.select("grp", "center", "precision"), "grp").withColumn("d2", _distance(p))
+    far = rows.join(narrow(now.select("grp", "center", "precision")), "grp").withColumn("d2", _distance(p))
     half = far.groupBy("grp").agg(F.percentile_approx("d2", 0.5, 1000).alias("half"))
     return now.join(half, "grp").select(
         "grp", "center", "precision",
@@ -208,9 +209,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     slim = stage(slim.withColumn("base_failed", base_failed()).select(
         "*", *(c.alias(f"x{i}") for i, c in enumerate(x))))
     sound = stage(_grouped(slim.where("NOT base_failed"), least))
-    fit = mcd(sound.where("grp IS NOT NULL"))
+    fit = stage(mcd(sound.where("grp IS NOT NULL")))
     cutoff = chi2_quantile(1 - beyond, len(x))
-    judged = sound.join(fit, "grp", "left").withColumn("distance", _distance(len(x)) / F.col("scale"))
+    judged = sized_join(sound, fit, "grp", "left").withColumn("distance", _distance(len(x)) / F.col("scale"))
     judged = judged.select("doc_id", "stats", "base_failed", "grp", "distance",
                            F.coalesce(F.col("distance") <= cutoff, F.lit(True)).alias("kept"))
     return judged.unionByName(slim.where("base_failed").select(
