@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +21,18 @@ def run_sql(spark: SparkSession, text: str, **views: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True,
-             **options) -> DataFrame:
+             bad_rows: str | None = None, **options) -> DataFrame:
     """CSV with a declared schema; columns are bound by position.
 
     A header is skipped, not trusted: duplicate header names, a byte-order mark
-    or a row-index column cannot change column names. Bad cells become null.
-    Gzip files are read as they are.
+    or a row-index column cannot change column names. Bad cells become null; the
+    text of a row that holds one is kept in the column ``bad_rows``, if named, so
+    they can be counted. Gzip files are read as they are.
     """
+    if bad_rows:
+        text = schema if isinstance(schema, str) else schema.toDDL()
+        schema = f"{text}, {bad_rows} string"
+        options["columnNameOfCorruptRecord"] = bad_rows
     reader = spark.read.schema(schema).option("header", header).option("enforceSchema", True)
     return reader.option("quote", '"').option("escape", '"').options(**options).csv(path)
 
@@ -52,34 +56,35 @@ def read_snapshot(spark: SparkSession, root: str, date: str) -> DataFrame:
     return spark.read.parquet(root).where(F.col("snapshot_date") == F.lit(date).cast("date"))
 
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def stage_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as the cluster names it.
 
-    Only a local session without the setting gets a folder of its own.
+    ``spark.checkpoint.dir``, or a folder of the warehouse where that is unset:
+    both are shared by all executors, whatever the master.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="subscope-stage-")
-    return _LOCAL_ROOTS[app]
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+
+
+def staged_folder(spark: SparkSession) -> str:
+    """Where this application stages."""
+    return f"{stage_root(spark).rstrip('/')}/subscope/{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; nothing built on it can run afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Write an intermediate once and read it back.
 
     Cuts lineage, survives lost executors, and later readers prune columns.
-    The path is <spark.checkpoint.dir>/subscope/<application>/<id>; drop the
-    application's folder when it ends.
+    The path is <stage_root>/subscope/<application>/<id>; :func:`drop_staged` when
+    the application ends.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{stage_root(spark).rstrip('/')}/subscope/{app}/{uuid.uuid4().hex}"
+    path = f"{staged_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
