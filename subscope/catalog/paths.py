@@ -287,6 +287,8 @@ def _(t):
 SIMPLE = "product ~ access + total_days + last_touch"
 BASIC = SIMPLE + " + " + " + ".join(n.COUNTS)
 DETAILED = BASIC + " + access:total_days"
+# Every count may act differently by last touch.
+FULL_MODEL = DETAILED + " + " + " + ".join(f"{c}:last_touch" for c in n.COUNTS)
 
 
 def model_input(t):
@@ -298,22 +300,23 @@ def scores(t):
     return m.score_long(m.fit_multinomial(r, BASIC), r)
 
 
-@query("t9_fit_multinomial", "model:s n:l loglik:d log_loss:d")
+@query("t9_fit_multinomial", "model:s n:l unscored:l loglik:d log_loss:d converged:b")
 def _(t):
     r = model_input(t)
     return m.compare_models({"basic": m.fit_multinomial(r, BASIC)}, r)
 
 
 @query("t10_compare_models",
-       "step:l model:s parameters:l n:l loglik:d log_loss:d lr_statistic:d lr_df:l")
+       "step:l model:s parameters:l n:l unscored:l loglik:d log_loss:d lr_statistic:d lr_df:l "
+       "converged:b")
 def _(t):
     r = model_input(t)
-    fits = {k: m.fit_multinomial(r, f) for k, f in
-            (("simple", SIMPLE), ("basic", BASIC), ("detailed", DETAILED))}
+    fits = {k: m.fit_multinomial(r, f, reg=0.0) for k, f in
+            (("simple", SIMPLE), ("basic", BASIC), ("detailed", DETAILED), ("full", FULL_MODEL))}
     return m.compare_models(fits, r)
 
 
-@query("t10_held_out_log_loss", "step:l model:s n:l log_loss:d")
+@query("t10_held_out_log_loss", "step:l model:s n:l unscored:l log_loss:d")
 def _(t):
     split = stage(stratified_split(rows(t), "product", "purchase_id", 0.8, 1234))
     train, test = split.where("part = 'train'"), split.where("part = 'test'")
