@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,7 +37,8 @@ class Rules:
     ``bridge_dates``: a bridge without a charge reference must also fit the
     contract's dates; otherwise every anchor row of the subscription bridges.
     ``anchor``: the new-system row that continues a contract, by top price or
-    by earliest start.
+    by earliest start. The remaining fields pick the brand's way through
+    :func:`subscope.plans.history.history`.
     """
 
     products: tuple[Product, ...]
@@ -49,6 +50,16 @@ class Rules:
     header: str = "left"  # or "inner"
     liability_pays: str = "amountpaid"  # or "rate"
     override: Override | None = None
+    levels: tuple[Product, ...] | None = None  # the level's own ladder where it is not the name's
+    other_name: str | None = None  # for codes no step names
+    other_level: int | None = None
+    merge: str = "rollup"  # or "pairwise", or "line": ``line`` keeps its rows, others roll up
+    line: str | None = None
+    latest_invoice: bool = False  # one invoice for each subscription and period
+    first_bridge: bool = False  # of several bridges the one renewed first
+    currency: str | None = None  # its prices count at most ``cap``
+    cap: float | None = None
+    link: str = "provider"  # or "metadata": where a new subscription names the old one
 
     def _match(self, p: Product, code: Column, rate) -> Column:
         hit = code == p.code if p.exact else code.contains(p.code)
@@ -59,10 +70,12 @@ class Rules:
         return hit
 
     def product(self, code, rate="rate") -> Column:
-        return ladder([(self._match(p, col(code), rate), p.name) for p in self.products])
+        steps = [(self._match(p, col(code), rate), p.name) for p in self.products]
+        return ladder(steps, self.other_name)
 
     def level(self, code, rate="rate") -> Column:
-        return ladder([(self._match(p, col(code), rate), p.level) for p in self.products])
+        steps = [(self._match(p, col(code), rate), p.level) for p in self.levels or self.products]
+        return ladder(steps, self.other_level)
 
     def name_of_level(self, level) -> Column:
         named = [*self.products, *([self.override] if self.override else [])]
@@ -94,18 +107,28 @@ BRANDS: dict[str, Rules] = {
         override=Override("All Access", "All Access", 3, code="AA"),
     ),
     "CD": Rules(
-        (Product("CDW", "Basic Digital", 1), Product("CD", "Premium", 2)),
+        (Product("CD", "Premium", 2), Product("CDW", "Basic Digital", 1, exact=False)),
+        levels=(Product("CDW", "Basic Digital", 1, exact=False),
+                Product("CD", "Premium", 2, exact=False)),
         monthly_below=50, annual_from=50, bridge_dates=False, header="inner",
-        liability_pays="rate",
+        liability_pays="rate", merge="pairwise", latest_invoice=True,
     ),
     "CN": Rules(
         (
-            Product("CNW", "Basic Digital", 1),
+            Product("NHF", "Health Pulse", 3, exact=False),
             Product("CN", "Premium", 2),
-            Product("NHF", "Health Pulse", 3),
-            Product("CND", "All Access", 4),
+            Product("CNW", "Basic Digital", 1, exact=False),
+            Product("CND", "All Access", 4, exact=False),
         ),
+        levels=(
+            Product("CND", "All Access", 4, exact=False),
+            Product("NHF", "Health Pulse", 3, exact=False),
+            Product("CN", "Premium", 2),
+            Product("CNW", "Basic Digital", 1, exact=False),
+        ),
+        other_name="All Access",
         annual_from=52, anchor="earliest", bridge_dates=False, header="inner",
+        merge="line", line="Health Pulse",
     ),
     "CL": Rules(
         (
@@ -120,11 +143,15 @@ BRANDS: dict[str, Rules] = {
             Product("CB1", "CB1", 1), Product("CB2", "CB2", 2),
             Product("CB3", "CB3", 3), Product("CBH", "CBH", 4),
         ),
-        anchor="earliest", bridge_dates=False,
+        anchor="earliest", bridge_dates=False, link="metadata",
     ),
-    "MH": Rules((Product("MHZ", "Digital", 1), Product("MH", "Print", 2),
-                 Product("MHP", "Health Pulse", 3))),
+    "MH": Rules((Product("MHZ", "Digital", 1), Product("MH", "Print", 2)), other_level=3,
+                other_name="Health Pulse"),
 }
+# Two products read the first brand with one more rule each.
+BRANDS["AN, earliest bridge"] = replace(
+    BRANDS["AN"], anchor="earliest", bridge_dates=False, first_bridge=True)
+BRANDS["AN, Canada"] = replace(BRANDS["AN"], bridge_dates=False, currency="CAD", cap=40)
 
 
 def old_autorenew(policy) -> Column:
