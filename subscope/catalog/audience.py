@@ -166,14 +166,14 @@ fragment("industries", ("people", "demographic", "b_codes"), f"""
     case when known = 1 then label else '{OTHER}' end as value
   from (select *, max(known) over (partition by customer) as top from (
     select p.*, label, case when label is null or label like '%gear%' then 0 else 1 end as known
-    from people p left join demographic d on d.clickshareuserid = p.customer
+    from people p left join demographic d on d.reader_id = p.customer
     left join b_codes c on c.code = d.busind) x) y where known = top""")
 fragment("jobs", ("people", "demographic", "j_codes"), """
   select distinct customer, brand, value
   from (select *, min(job) over (partition by customer) as low from (
     select p.*, coalesce(label, 'unknown') as value,
       coalesce(try_cast(d.jobfunction as int), 99) as job
-    from people p left join demographic d on d.clickshareuserid = p.customer
+    from people p left join demographic d on d.reader_id = p.customer
     left join j_codes c on c.code = d.jobfunction) x) y where job = low""")
 
 
@@ -259,12 +259,12 @@ def _(t):
 @query("m16_price_feed",
        "siteid:s customerid:l subscriptionid:l planid:l quantity:l source:s addressid:l brand:s "
        "productid:s billingmethod:s pricingsource:s", ["recommendation", "snapshot"], """
-    select site_id as siteid, pelcro_customer_id as customerid,
+    select site_id as siteid, new_customer_id as customerid,
       subscription_id as subscriptionid, plan_id as planid, plan_interval_count as quantity,
       'Renewal' as source, shipping_address_id as addressid, businessunitcode as brand,
       s.product_id as productid, s.billing_method as billingmethod,
       pricing_source as pricingsource
-    from recommendation r left join snapshot s on s.pelcro_subscription_id = r.subscription_id
+    from recommendation r left join snapshot s on s.new_subscription_id = r.subscription_id
     """)
 def _(t):
     return a.price_feed(t.recommendation, t.snapshot)

@@ -13,10 +13,10 @@ GRAIN, CASUAL, LOYAL = ["period"], 8, 10
 SIGNUP = "signup:"
 
 fragment("ids", ("identity",), """
-  select distinct cast(clickshareuserid as bigint) as uid, customermasterkey as ref_id
+  select distinct cast(reader_id as bigint) as uid, customermasterkey as ref_id
   from identity where customermasterkey in (
     select customermasterkey from identity group by 1
-    having max(case when advantagecustomerid is null and pelcrocustomerid = 0 then 0 else 1 end)
+    having max(case when old_customerid is null and new_customerid = 0 then 0 else 1 end)
         = 1 and max(cast(isgroup as int)) = 0)""")
 fragment("uid_hits", ("hits",), """
   select *, coalesce(content_type, '') = 'article' as article,
@@ -63,7 +63,7 @@ def segments(t):
 
 @query("e0_eligible_users", "customermasterkey:s", ["identity"], """
     select customermasterkey from identity group by 1
-    having max(case when advantagecustomerid is null and pelcrocustomerid = 0 then 0 else 1 end)
+    having max(case when old_customerid is null and new_customerid = 0 then 0 else 1 end)
       = 1 and max(cast(isgroup as int)) = 0 and max(cast(isbadquality as int)) = 0""")
 def _(t):
     return e.eligible_users(t.identity, drop_bad_quality=True)

@@ -311,47 +311,50 @@ def _(t):
     return j.semi_in(t.table("customer"), ["c_custkey"], urgent, ["o_custkey"])
 
 
-@query("j10_not_in_with_nulls", "customermasterkey:s advantagecustomerid:l", ["identity"], """
-    select customermasterkey, advantagecustomerid from identity i
+@query("j10_not_in_with_nulls", "customermasterkey:s old_customerid:l", ["identity"], """
+    select customermasterkey, old_customerid from identity i
     where not exists (select 1 from identity g where g.isgroup
-      and g.advantagecustomerid is not distinct from i.advantagecustomerid)""")
+      and g.old_customerid is not distinct from i.old_customerid)""")
 def _(t):
-    return j.anti_on(t.identity, ["advantagecustomerid"], t.identity.where("isgroup"))
+    return j.anti_on(t.identity, ["old_customerid"], t.identity.where("isgroup"))
 
 
 @query("j11_missing_on_either", "customermasterkey:s", ["identity", "subscription"], """
     select customermasterkey from identity i
     where not exists (select 1 from subscription s
-        where s.customeraccountid = i.pelcrocustomerid)
+        where s.customeraccountid = i.new_customerid)
       or not exists (select 1 from subscription s
-        where s.customeraccountid - 500000 is not distinct from i.advantagecustomerid)""")
+        where s.customeraccountid - 500000 is not distinct from i.old_customerid)""")
 def _(t):
     ref = t.subscription.select(
         "customeraccountid", (F.col("customeraccountid") - 500000).alias("old"))
-    return j.missing_on_either(t.identity, ref, ("pelcrocustomerid", "customeraccountid"),
-                               ("advantagecustomerid", "old"))
+    return j.missing_on_either(t.identity, ref, ("new_customerid", "customeraccountid"),
+                               ("old_customerid", "old"))
 
 
-@query("j13_overlap_weeks",
-       "subscriptionreference:l termnumber:l week_start:t days:l", ["terms"], """
-    select subscriptionreference, termnumber, week_start,
-      least(expirationissuedate, week_start + 7) - greatest(startissuedate, week_start) as days
-    from terms join (select cast(unnest(generate_series(date '1998-01-04', date '1998-02-22',
+@query("j13_overlap_weeks", "week_start:t terms:l days:l", ["terms"], """
+    select week_start, count(*) as terms,
+      sum(least(expirationissuedate, week_start + 7) - greatest(startissuedate, week_start)) as days
+    from terms join (select cast(unnest(generate_series(date '1995-01-01', date '2001-12-23',
         interval 7 day)) as date) as week_start) w
-      on startissuedate < week_start + 7 and expirationissuedate > week_start""")
+      on startissuedate < week_start + 7 and expirationissuedate > week_start group by 1""")
 def _(t):
-    return iv.overlap_weeks(t.terms, "startissuedate", "expirationissuedate", "1998-01-04", 8)
+    """The whole grid of seven years."""
+    weeks = iv.overlap_weeks(t.terms, "startissuedate", "expirationissuedate", "1995-01-01", 365)
+    return weeks.groupBy("week_start").agg(
+        F.count(F.lit(1)).alias("terms"), F.sum("days").alias("days"))
 
 
-@query("j17_lookup", "clickshareuserid:l busind:s value_text:s", ["demographic", "code_index"], """
-    select d.clickshareuserid, d.busind, c.value_text
-    from (select distinct clickshareuserid, busind from demographic) d
+@query("j17_lookup", "busind:s readers:l value_text:s", ["demographic", "code_index"], """
+    select d.busind, d.readers, c.value_text
+    from (select busind, count(distinct reader_id) as readers from demographic group by 1) d
     left join (select distinct value_text, regexp_extract(value_text, '\\(([^)]*)\\)', 1) as code
-      from code_index where code_kind = 'J' and value_text like 'hot%') c on c.code = d.busind""")
+      from code_index where code_kind = 'J') c on c.code = d.busind""")
 def _(t):
-    codes = t.code_index.where("code_kind = 'J' and value_text like 'hot%'").select(
+    """All labels of every answer; both sides are reduced before they meet."""
+    codes = t.code_index.where("code_kind = 'J'").select(
         "value_text", x.extract_code("value_text").alias("code")).distinct()
-    answers = t.demographic.select("clickshareuserid", "busind").distinct()
+    answers = t.demographic.groupBy("busind").agg(F.count_distinct("reader_id").alias("readers"))
     return j.lookup(answers, codes, ("busind", "code"), ["value_text"])
 
 
@@ -390,10 +393,10 @@ def _(t):
        "recommendation", "snapshot"], """
     select r.subscription_id, r.product_id || '/' || r.billing_method as offered,
       s.product_id || '/' || s.billing_method as held
-    from recommendation r join snapshot s on s.pelcro_subscription_id = r.subscription_id""")
+    from recommendation r join snapshot s on s.new_subscription_id = r.subscription_id""")
 def _(t):
     a, b = t.recommendation.alias("r"), t.snapshot.alias("s")
-    both = a.join(b, F.col("r.subscription_id") == F.col("s.pelcro_subscription_id"))
+    both = a.join(b, F.col("r.subscription_id") == F.col("s.new_subscription_id"))
     return both.select(
         "subscription_id", F.concat_ws("/", "r.product_id", "r.billing_method").alias("offered"),
         F.concat_ws("/", "s.product_id", "s.billing_method").alias("held"))

@@ -13,13 +13,13 @@ THRESHOLDS = {"Basic Digital": 30000, "Premium": 50000}
 FIRST_SINCE = "1996-01-01"
 
 fragment("contracts", ("terms_base",), """
-  select shiptocustomernumber, ordernumber, orderdate, subscriptionreference as pelcro_subid,
+  select shiptocustomernumber, ordernumber, orderdate, subscriptionreference as new_subid,
     isautorenew, product as pubcode, termnumber, termlength, rate, expirationissuedate,
     renewalrate, renewalordernumber, donortype from terms_base""")
 
 
 def contracts(t):
-    return base(t).withColumnsRenamed({"subscriptionreference": "pelcro_subid"}).select(
+    return base(t).withColumnsRenamed({"subscriptionreference": "new_subid"}).select(
         *p.CONTRACT_COLS[:4], "isautorenew", F.col("product").alias("pubcode"), "termnumber",
         "termlength", "rate", "expirationissuedate", "renewalrate", "renewalordernumber",
         "donortype",
@@ -34,7 +34,7 @@ OUTCOMES = ("pubcode:s isautorenew:s contracts:l renewed_raise:l renewed_no_rais
             "undetermined:l churned:l mean_rate_renewed:d mean_rate_churned:d "
             "mean_term_renewed:d mean_term_churned:d renewal_revenue:m churn_loss:m "
             "net_revenue:m")
-ID = "shiptocustomernumber || '-' || ordernumber || '-' || pelcro_subid"
+ID = "shiptocustomernumber || '-' || ordernumber || '-' || new_subid"
 
 fragment("outcomes", ("contracts",), f"""
   select *, renewal_revenue + churn_loss as net_revenue from (
@@ -91,7 +91,7 @@ MONTHLY_COLS = [c for c in p.CONTRACT_COLS if c != "orderdate"]
         and (expirationissuedate <= date '{AS_OF}'
           or expirationissuedate >= date '{AS_OF}' and renewalordernumber is not null)),
     firsts as (select * from (select *, min(termnumber) over (partition by
-      shiptocustomernumber, pelcro_subid) as m from live) a where termnumber = m),
+      shiptocustomernumber, new_subid) as m from live) a where termnumber = m),
     g as (select {', '.join(MONTHLY_COLS)}, max(renewalrate) as renewalrate,
         count(distinct renewalordernumber) as n, any_value({ID}) as id
       from firsts where rate <= 100000 group by {', '.join(MONTHLY_COLS)}),

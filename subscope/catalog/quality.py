@@ -25,12 +25,12 @@ def _(t):
     )
 
 
-@query("v1_history_duplicate_terms", "pelcro_subid:l termnumber:l ordernumber:s n:l", ["history"],
-       """select pelcro_subid, termnumber, ordernumber, n from (
+@query("v1_history_duplicate_terms", "new_subid:l termnumber:l ordernumber:s n:l", ["history"],
+       """select new_subid, termnumber, ordernumber, n from (
             select *, count(*) over (partition by shiptocustomernumber, ordernumber,
-              pelcro_subid, adv_subid, termnumber, pubcode) as n from history) x where n > 1""")
+              new_subid, old_subid, termnumber, pubcode) as n from history) x where n > 1""")
 def _(t):
-    keys = ["shiptocustomernumber", "ordernumber", "pelcro_subid", "adv_subid", "termnumber",
+    keys = ["shiptocustomernumber", "ordernumber", "new_subid", "old_subid", "termnumber",
             "pubcode"]
     return v.duplicate_keys(h.stage(stitched(t)), keys)
 
@@ -46,22 +46,22 @@ def _(t):
     """)
 def _(t):
     captured = h.linked_rollup(marked(t), RULES).select(
-        F.col("shiptocustomernumber").alias("original_adv_cust_value"), "ordernumber",
-        F.col("subscriptionreference").alias("adv_subid"),
+        F.col("shiptocustomernumber").alias("original_cust_value"), "ordernumber",
+        F.col("subscriptionreference").alias("old_subid"),
     )
     return v.missing_old_contracts(t.terms, captured, "1999-01-01")
 
 
 @query("v3_missing_new_subscriptions",
-       "subscriptionid:l oldproviderid:l quantity:l has_corresponding_adv_row:t",
+       "subscriptionid:l oldproviderid:l quantity:l has_old_row:t",
        ["subscription", "history", "header"], """
     select s.subscriptionid, s.old as oldproviderid, s.quantity,
-      h.firstissuesent as has_corresponding_adv_row
+      h.firstissuesent as has_old_row
     from (select *, cast(nullif(regexp_replace(coalesce(oldproviderid, ''), '[^0-9]', '', 'g'),
             '') as bigint) as old from subscription) s
     left join header h on h.subscriptionreference = s.old
     where s.ispaid and s.subscriptionstatus in ('active', 'past_due')
-      and not exists (select 1 from history x where x.pelcro_subid = s.subscriptionid)""")
+      and not exists (select 1 from history x where x.new_subid = s.subscriptionid)""")
 def _(t):
     return v.missing_new_subscriptions(t.subscription, stitched(t), t.header)
 
@@ -72,7 +72,7 @@ def _(t):
     total as (select businessunitcode as brand, sum(quantity) as total_subs from live
       where ispaid group by 1),
     found as (select businessunitcode as brand, sum(quantity) as captured_subs from live
-      where subscriptionid in (select pelcro_subid from history where pelcro_subid is not null)
+      where subscriptionid in (select new_subid from history where new_subid is not null)
       group by 1)
     select t.brand, total_subs, captured_subs, captured_subs * 100.0 / total_subs as capture_pct,
       total_subs - captured_subs as missing_subs from total t join found f on f.brand = t.brand""")
@@ -156,7 +156,7 @@ def _(t):
     select ordernumber, subscriptionreference, termnumber, migrated,
       max(migrated) over w as order_migrated, max(pub_level) over w as max_level,
       sum(rate) over w as order_total
-    from (select b.*, case when subscriptionreference in (select adv_sub_id from new_terms)
+    from (select b.*, case when subscriptionreference in (select old_sub_id from new_terms)
       then 1 else 0 end as migrated from terms_base b) x
     window w as (partition by shiptocustomernumber, ordernumber)""")
 def _(t):

@@ -65,9 +65,10 @@ def resolve_identity(
     """Try identity maps in order; rows a map cannot resolve go to the next one.
 
     ``maps`` holds (table, id column, key column). Rows no map resolves are
-    dropped. Each step sees only what the earlier steps left over.
+    dropped, and rows without an id first of all, so they meet no join. Each step
+    sees only what the earlier steps left over.
     """
-    resolved, rest = None, df
+    resolved, rest = None, df.where(F.col(uid).isNotNull())
     for table, id_col, key_col in maps:
         m = table.where(F.col(id_col).isNotNull() & F.col(key_col).isNotNull()).select(
             F.col(id_col).alias("__id"), F.col(key_col).alias(out)

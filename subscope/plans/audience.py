@@ -169,7 +169,7 @@ def _answers(customers: DataFrame, answers: DataFrame, code: str) -> DataFrame:
     Repeated answers are removed before the join, so a customer with very many
     form rows adds only as many rows as there are codes.
     """
-    a = answers.select(F.col("clickshareuserid").alias("__u"), F.col(code).alias("code")) \
+    a = answers.select(F.col("reader_id").alias("__u"), F.col(code).alias("code")) \
         .distinct()
     return customers.join(a, customers["customer"] == a["__u"], "left").drop("__u")
 
@@ -256,9 +256,9 @@ def cross_brand_share(values: DataFrame, k: int, unknown: Sequence[str]) -> Data
 def price_feed(recommendation: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Recommendations with the subscriber snapshot of the same date, in the load file's columns."""
     r, s = recommendation.alias("r"), snapshot.alias("s")
-    j = r.join(s, F.col("r.subscription_id") == F.col("s.pelcro_subscription_id"), "left")
+    j = r.join(s, F.col("r.subscription_id") == F.col("s.new_subscription_id"), "left")
     return j.select(
-        F.col("r.site_id").alias("siteid"), F.col("s.pelcro_customer_id").alias("customerid"),
+        F.col("r.site_id").alias("siteid"), F.col("s.new_customer_id").alias("customerid"),
         F.col("r.subscription_id").alias("subscriptionid"), F.col("s.plan_id").alias("planid"),
         F.col("s.plan_interval_count").alias("quantity"), F.lit("Renewal").alias("source"),
         F.col("s.shipping_address_id").alias("addressid"),

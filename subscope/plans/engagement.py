@@ -43,7 +43,7 @@ def months(first: str, last: str) -> list[tuple[str, str, str]]:
 
 def eligible_users(identity: DataFrame, drop_bad_quality: bool = False) -> DataFrame:
     """Customers with a subscription who are not a group account."""
-    no_sub = F.col("advantagecustomerid").isNull() & (F.col("pelcrocustomerid") == 0)
+    no_sub = F.col("old_customerid").isNull() & (F.col("new_customerid") == 0)
     keys = identity.groupBy("customermasterkey").agg(
         F.max(F.when(no_sub, 0).otherwise(1)).alias("subscriber"),
         F.max(F.col("isgroup").cast("int")).alias("grouped"),
@@ -57,7 +57,7 @@ def eligible_users(identity: DataFrame, drop_bad_quality: bool = False) -> DataF
 def identity_map(identity: DataFrame, keys: DataFrame) -> DataFrame:
     """(uid, ref_id) of the eligible customers; a missing id maps nobody."""
     return identity.join(keys, "customermasterkey", "left_semi").select(
-        clean_id("clickshareuserid").alias("uid"), F.col("customermasterkey").alias("ref_id")
+        clean_id("reader_id").alias("uid"), F.col("customermasterkey").alias("ref_id")
     ).where("uid is not null").distinct()
 
 

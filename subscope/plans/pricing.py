@@ -15,9 +15,9 @@ from ..operators.ordered import join_stats, quantiles
 from ..sources.io import stage
 
 # One contract as the reports count it.
-KEY = ["shiptocustomernumber", "ordernumber", "pelcro_subid"]
+KEY = ["shiptocustomernumber", "ordernumber", "new_subid"]
 CONTRACT_COLS = [
-    "shiptocustomernumber", "ordernumber", "orderdate", "pelcro_subid", "isautorenew", "pubcode",
+    "shiptocustomernumber", "ordernumber", "orderdate", "new_subid", "isautorenew", "pubcode",
     "termnumber", "termlength", "rate", "expirationissuedate",
 ]
 
@@ -125,7 +125,7 @@ def renewal_outcomes_monthly(
         (F.col("donortype") == "I") & (F.col("termlength") == "Monthly") & spans
         & F.col("pubcode").isin(*products) & known
     )
-    first = keep_group_min(live, ["shiptocustomernumber", "pelcro_subid"], "termnumber")
+    first = keep_group_min(live, ["shiptocustomernumber", "new_subid"], "termnumber")
     c = stage(_contracts(first.where(F.col("rate") <= max_rate),
                          [x for x in CONTRACT_COLS if x != "orderdate"]))
     by = ["pubcode", "termlength", "isautorenew"]

@@ -29,9 +29,9 @@ def missing_old_contracts(terms: DataFrame, history: DataFrame, since: str) -> D
     scope = terms.where(F.col("expirationissuedate") >= _day(since)).select(
         "shiptocustomernumber", "ordernumber", "subscriptionreference"
     )
-    rest = anti_on(scope, ["subscriptionreference"], history, ["adv_subid"])
+    rest = anti_on(scope, ["subscriptionreference"], history, ["old_subid"])
     return anti_on(rest, ["shiptocustomernumber", "ordernumber"], history,
-                   ["original_adv_cust_value", "ordernumber"])
+                   ["original_cust_value", "ordernumber"])
 
 
 def open_subscriptions(subscription: DataFrame) -> DataFrame:
@@ -43,11 +43,11 @@ def missing_new_subscriptions(
 ) -> DataFrame:
     """Open, paid new-system subscriptions the history lacks, with the old row's first issue."""
     open_paid = open_subscriptions(subscription).where(is_true("ispaid"))
-    gone = anti_on(open_paid, ["subscriptionid"], history, ["pelcro_subid"]).select(
+    gone = anti_on(open_paid, ["subscriptionid"], history, ["new_subid"]).select(
         "subscriptionid", digits_id("oldproviderid").alias("oldproviderid"), "quantity"
     )
     old = header.select(F.col("subscriptionreference").alias("__ref"),
-                        F.col("firstissuesent").alias("has_corresponding_adv_row"))
+                        F.col("firstissuesent").alias("has_old_row"))
     return gone.join(old, gone["oldproviderid"] == old["__ref"], "left").drop("__ref")
 
 
@@ -57,7 +57,7 @@ def capture_rate(subscription: DataFrame, history: DataFrame) -> DataFrame:
     total = live.where(is_true("ispaid")).groupBy("businessunitcode").agg(
         F.sum("quantity").alias("total_subs")
     )
-    found = semi_in(live, ["subscriptionid"], history, ["pelcro_subid"]).groupBy(
+    found = semi_in(live, ["subscriptionid"], history, ["new_subid"]).groupBy(
         F.col("businessunitcode").alias("__brand")
     ).agg(F.sum("quantity").alias("captured_subs"))
     out = total.join(found, total["businessunitcode"] == found["__brand"], "left").drop("__brand")
@@ -151,7 +151,7 @@ def arpu_year(terms: DataFrame, since: str) -> DataFrame:
 def history_flags(terms: DataFrame, migrated: DataFrame) -> DataFrame:
     """Rows with whether their order migrated, the order's top level, and its total price."""
     order = ["shiptocustomernumber", "ordernumber"]
-    known = migrated.select(F.col("adv_sub_id").alias("__ref")).distinct().withColumn(
+    known = migrated.select(F.col("old_sub_id").alias("__ref")).distinct().withColumn(
         "__in", F.lit(1)
     )
     rows = terms.join(known, terms["subscriptionreference"] == known["__ref"], "left")

@@ -113,7 +113,7 @@ class Inputs:
             F.max("l_orderkey").alias("last_order"),
         )
         seg, cust = F.col("c_mktsegment"), F.col("o_custkey")
-        old = F.concat(F.lit("adv_"), F.col("ref").cast("string"))
+        old = F.concat(F.lit("old_"), F.col("ref").cast("string"))
         return keys.select(
             (F.lit(1000000) + F.col("ref")).alias("subscriptionid"),
             F.when(cust % 3 == 0, old).alias("oldproviderid"),
@@ -138,7 +138,7 @@ class Inputs:
             F.when(cust % 5 == 0, "past_due").when(cust % 5 == 1, "canceled")
             .otherwise("active").alias("subscriptionstatus"),
             (cust % 3 + 1).alias("quantity"),
-            F.format_string('{"adv_sub": "%d", "order_number": "%d"}', "ref", "last_order")
+            F.format_string('{"old_sub": "%d", "order_number": "%d"}', "ref", "last_order")
             .alias("metadata"),
         )
 
@@ -221,9 +221,9 @@ class Inputs:
         c = F.col("c_custkey")
         return self.table("customer").select(
             F.concat(F.lit("K"), c.cast("string")).alias("customermasterkey"),
-            c.cast("string").alias("clickshareuserid"),
-            F.when(c % 3 == 0, 0).otherwise(500000 + c).alias("pelcrocustomerid"),
-            F.when(c % 4 != 1, c).alias("advantagecustomerid"),
+            c.cast("string").alias("reader_id"),
+            F.when(c % 3 == 0, 0).otherwise(500000 + c).alias("new_customerid"),
+            F.when(c % 4 != 1, c).alias("old_customerid"),
             (F.col("c_mktsegment") == "HOUSEHOLD").alias("isgroup"),
             (F.col("c_acctbal") < 0).alias("isbadquality"),
         )
@@ -289,7 +289,7 @@ class Inputs:
         j = li.join(o, li.l_orderkey == o.o_orderkey)
         q = F.col("l_quantity").cast("int")
         return j.select(
-            F.col("o_custkey").alias("clickshareuserid"),
+            F.col("o_custkey").alias("reader_id"),
             F.when(F.col("l_returnflag") != "R", q.cast("string")).alias("busind"),
             F.when(F.col("l_linestatus") == "O", (q % 50 + 1).cast("string")).otherwise("")
             .alias("jobfunction"),
@@ -310,8 +310,8 @@ class Inputs:
         """Subscriber snapshot: one row per current subscription."""
         p = self.subscription.where("subscriptionstatus <> 'canceled'")
         return p.select(
-            F.col("subscriptionid").alias("pelcro_subscription_id"),
-            F.col("customeraccountid").alias("pelcro_customer_id"),
+            F.col("subscriptionid").alias("new_subscription_id"),
+            F.col("customeraccountid").alias("new_customer_id"),
             F.col("planid").alias("plan_id"), F.col("quantity").alias("plan_interval_count"),
             (F.col("customeraccountid") + 7).alias("shipping_address_id"),
             F.col("productname").alias("product_id"),
@@ -361,7 +361,7 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
           c_name as companyname from customer"""),
     "subscription": (("order_lines",), """
         select 1000000 + ref as subscriptionid,
-          case when o_custkey % 3 = 0 then 'adv_' || cast(ref as varchar) end as oldproviderid,
+          case when o_custkey % 3 = 0 then 'old_' || cast(ref as varchar) end as oldproviderid,
           500000 + o_custkey as customeraccountid, r_name as businessunitcode,
           c_acctbal >= 0 as ispaid, c_mktsegment <> 'HOUSEHOLD' as issourced,
           c_mktsegment = 'BUILDING' as iscorporate, cast(null as boolean) as isagency,
@@ -376,7 +376,7 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
           case when o_custkey % 5 = 0 then 'past_due' when o_custkey % 5 = 1 then 'canceled'
             else 'active' end as subscriptionstatus,
           o_custkey % 3 + 1 as quantity,
-          '{"adv_sub": "' || ref || '", "order_number": "' || max(l_orderkey) || '"}' as metadata
+          '{"old_sub": "' || ref || '", "order_number": "' || max(l_orderkey) || '"}' as metadata
         from order_lines where o_custkey % 3 <> 2
         group by ref, o_custkey, r_name, c_acctbal, c_mktsegment, l_partkey % 4"""),
     "invoice": ((), """
@@ -430,9 +430,9 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
         from events"""),
     "identity": ((), """
         select 'K' || c_custkey as customermasterkey,
-          cast(c_custkey as varchar) as clickshareuserid,
-          case when c_custkey % 3 = 0 then 0 else 500000 + c_custkey end as pelcrocustomerid,
-          case when c_custkey % 4 = 1 then null else c_custkey end as advantagecustomerid,
+          cast(c_custkey as varchar) as reader_id,
+          case when c_custkey % 3 = 0 then 0 else 500000 + c_custkey end as new_customerid,
+          case when c_custkey % 4 = 1 then null else c_custkey end as old_customerid,
           c_mktsegment = 'HOUSEHOLD' as isgroup, c_acctbal < 0 as isbadquality
         from customer"""),
     "second_map": ((), """
@@ -469,7 +469,7 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
           case when p_partkey % 2 = 0 then 'J' else 'B' end as code_kind
         from part"""),
     "demographic": ((), """
-        select o_custkey as clickshareuserid,
+        select o_custkey as reader_id,
           case when l_returnflag <> 'R' then cast(cast(l_quantity as int) as varchar) end
             as busind,
           case when l_linestatus = 'O' then cast(cast(l_quantity as int) % 50 + 1 as varchar)
@@ -482,7 +482,7 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
           case when ispaid then 'model' else 'control' end as pricing_source
         from subscription"""),
     "snapshot": (("subscription",), """
-        select subscriptionid as pelcro_subscription_id, customeraccountid as pelcro_customer_id,
+        select subscriptionid as new_subscription_id, customeraccountid as new_customer_id,
           planid as plan_id, quantity as plan_interval_count,
           customeraccountid + 7 as shipping_address_id, productname as product_id,
           case when issourced then 'auto' else 'send' end as billing_method,

@@ -116,7 +116,7 @@ def test_invoice_dedup_is_per_period(spark):
 
 
 FULL = ("shiptocustomernumber int, brand string, ordernumber int, orderdate date, product string, "
-        "subscriptionreference int, pelcro_subid int, termnumber int, isautorenew string, "
+        "subscriptionreference int, new_subid int, termnumber int, isautorenew string, "
         "termlength string, startissuedate date, expirationissuedate date, rate double, "
         "renewalordernumber int, renewalstartdate date, renewalrate double, donortype string")
 NEW = ("subscriptionid int, customeraccountid int, start_date date, expire_date date, "
@@ -149,7 +149,7 @@ def test_bridge_without_dates_takes_every_anchor(spark):
     loose = history.bridge_row(full, new, history.Rules(ch.PRODUCTS, bridge_dates=False))
     assert loose.count() == 4
     first = history.bridge_row(full, new, ch.RULES_EARLIEST)
-    assert rows(first, "adv_subid", "renewalordernumber") == [(700, None)]
+    assert rows(first, "old_subid", "renewalordernumber") == [(700, None)]
 
 
 def test_new_layer_continues_the_numbering(spark):
@@ -164,23 +164,23 @@ def test_new_layer_continues_the_numbering(spark):
         (1, 9, "2026-01-01", "2026-12-31", "N", "c", 1.0, "no plan", 1.0, 1.0, None,
          "2026-01-01", "X", None, "Y", "I"),
     ])
-    last = frame(spark, "original_adv_cust_value int, pelcro_subid int, "
-                 "last_expiration_date date, last_adv_term_value int", [(7, 1, "2023-12-31", 3)])
+    last = frame(spark, "original_cust_value int, new_subid int, "
+                 "last_expiration_date date, last_old_term_value int", [(7, 1, "2023-12-31", 3)])
     got = history.new_layer(new, last)
     assert rows(got, "ordernumber", "termnumber", "termlength", "renewalordernumber",
-                "adv_subid") == [("b", 4, "Annual", "c", None), ("c", 5, "Monthly", None, None)]
+                "old_subid") == [("b", 4, "Annual", "c", None), ("c", 5, "Monthly", None, None)]
 
 
 def test_bridge_dedup_keeps_the_earliest_renewal_and_undated_ones(spark):
-    df = frame(spark, "shiptocustomernumber int, ordernumber string, pelcro_subid int, "
-               "adv_subid int, renewalstartdate date", [
+    df = frame(spark, "shiptocustomernumber int, ordernumber string, new_subid int, "
+               "old_subid int, renewalstartdate date", [
         (1, "a", 1, 1, "2024-02-01"), (1, "a", 1, 1, "2024-01-01"), (1, "a", 1, 1, None),
         (2, "b", None, 1, None)])
     assert rows(history.bridge_dedup(df), "shiptocustomernumber", "renewalstartdate") == [
         (1, D(2024, 1, 1)), (2, None)]
 
 
-CONTRACT = ("shiptocustomernumber int, ordernumber int, orderdate date, pelcro_subid int, "
+CONTRACT = ("shiptocustomernumber int, ordernumber int, orderdate date, new_subid int, "
             "isautorenew string, pubcode string, termnumber int, termlength string, rate double, "
             "expirationissuedate date, renewalrate double, renewalordernumber int, "
             "donortype string")
@@ -227,7 +227,7 @@ def test_eligible_users(spark):
     df = spark.createDataFrame(
         [("a", None, 0, False, False), ("a", 5, 0, False, False), ("b", None, 0, False, False),
          ("c", 6, 1, True, False), ("d", 7, 1, False, True)],
-        "customermasterkey string, advantagecustomerid int, pelcrocustomerid int, "
+        "customermasterkey string, old_customerid int, new_customerid int, "
         "isgroup boolean, isbadquality boolean")
     assert rows(engagement.eligible_users(df), "customermasterkey") == [("a",), ("d",)]
     assert rows(engagement.eligible_users(df, True), "customermasterkey") == [("a",)]
@@ -297,7 +297,7 @@ def test_best_known_value_and_senior_job(spark):
     people = spark.createDataFrame([(1,), (2,), (3,)], "customer int")
     answers = spark.createDataFrame(
         [(1, "A", "7"), (1, "Z", "3"), (2, "Z", ""), (2, None, None)],
-        "clickshareuserid int, busind string, jobfunction string")
+        "reader_id int, busind string, jobfunction string")
     industry = spark.createDataFrame([("A", "Hospital"), ("Z", "Other Healthcare")],
                                      "code string, label string")
     got = audience.best_known_value(people, answers, industry, "Other Health", "Other")
@@ -345,13 +345,13 @@ def test_history_is_a_set_with_every_customer(spark, sf_dir, stitched):
     assert stitched.count() == stitched.distinct().count()
     t = Inputs(spark, sf_dir)
     old = t.terms.select(F.col("shiptocustomernumber").alias("c")).distinct()
-    kept = stitched.select(F.col("original_adv_cust_value").alias("c")).distinct()
+    kept = stitched.select(F.col("original_cust_value").alias("c")).distinct()
     assert old.join(kept, "c", "left_anti").count() == 0
 
 
 def test_new_terms_number_rises_with_the_start(stitched):
-    w = "partition by shiptocustomernumber, pelcro_subid order by startissuedate, ordernumber"
-    new = stitched.where("adv_subid is null and original_adv_cust_value is not null")
+    w = "partition by shiptocustomernumber, new_subid order by startissuedate, ordernumber"
+    new = stitched.where("old_subid is null and original_cust_value is not null")
     bad = new.withColumn("prev", F.expr(f"lag(termnumber) over ({w})")).where("termnumber <= prev")
     assert new.count() > 0 and bad.count() == 0
 
@@ -427,6 +427,27 @@ def test_nested_models_and_tables(choices):
     assert counts.agg(F.sum("predicted")).first()[0] == 600
 
 
+def test_models_lose_no_row(spark, choices):
+    model = models.fit_multinomial(choices, "product ~ access + total_days")
+    odd = choices.limit(1).union(choices.limit(1).withColumn("access", F.lit("never seen"))).union(
+        choices.limit(1).withColumn("access", F.lit(None).cast("string"))).union(
+        choices.limit(1).withColumn("product", F.lit("C"))).union(
+        choices.limit(1).withColumn("total_days", F.lit(None).cast("bigint")))
+    loss = models.log_loss(model, odd).first()
+    assert (loss["n"], loss["unscored"]) == (5, 1) and loss["loglik"] < -30
+    long = models.score_long(model, odd)
+    assert long.where("category is null").count() == 1 and long.count() == 4 * 2 + 1
+    assert models.predicted_counts(model, odd, "product").agg(F.sum("predicted")).first()[0] == 5
+    assert model.converged and not models.fit_multinomial(choices, cp.BASIC, iters=1).converged
+
+
+def test_vif_of_dependent_and_constant_predictors(spark):
+    df = spark.range(50).select((F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b"), F.lit(3).alias("k"))
+    df = df.withColumn("c", 1 - F.col("a") - F.col("b"))
+    v = {r[0]: r[1] for r in models.vif(df, ["a", "b", "c", "k"]).collect()}
+    assert v == {"a": float("inf"), "b": float("inf"), "c": float("inf"), "k": None}
+
+
 def test_vif_finds_the_copy(choices):
     df = choices.withColumn("copy", F.col("total_days") * 2 + F.col("missing") * 0.1)
     v = {r[0]: r[1] for r in models.vif(df, ["total_days", "copy", "search_engines"]).collect()}
