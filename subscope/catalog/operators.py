@@ -646,6 +646,25 @@ def _(t):
     return g.top_k_ties(n, 3, "copies", ["brand"])
 
 
+@query("k2_sorted_output", "subscriptionreference:l termnumber:l rate:m", ["terms"],
+       "select subscriptionreference, termnumber, rate from terms order by rate desc, 1, 2")
+def _(t):
+    return g.sorted_output(t.terms, [F.col("rate").desc(), F.col("subscriptionreference"),
+                                     F.col("termnumber")])
+
+
+@query("x9_parse_ts", "event_id:l day:t seconds:l bad:b", [], """
+    select event_id, cast(ts as date) as day,
+      epoch(date_trunc('second', ts))::bigint % 86400 as seconds, true as bad from events""")
+def _(t):
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    at = x.parse_ts(text)
+    seconds = F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+    return t.table("events").select(
+        "event_id", at.cast("date").alias("day"), seconds.alias("seconds"),
+        x.parse_ts(F.concat(F.lit("on "), text)).isNull().alias("bad"))
+
+
 @query("k5_first_n", "subscriptionreference:l termnumber:l rate:m", ["terms"], """
     select subscriptionreference, termnumber, rate from terms
     order by rate desc, subscriptionreference, termnumber limit 10""")

@@ -87,6 +87,11 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n:
     return df.withColumn("__r", F.row_number().over(w)).where(f"__r <= {int(n)}").drop("__r")
 
 
+def sorted_output(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Rows in a final order: ranges are dealt to tasks, so no task sorts all; files keep the order."""
+    return df.orderBy(*order)
+
+
 def first_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

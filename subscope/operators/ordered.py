@@ -137,14 +137,15 @@ def day_streaks(df: DataFrame, by: Sequence[str], day: str) -> DataFrame:
 
 def quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
-    parts: int = 64,
+    parts: int | None = None, per_part: int = 100_000,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation.
 
     1. Count each distinct value per group (combined map-side); the counts are
        read four times below, so they are staged and ``df`` runs once.
     2. Cut a group's distinct values into about ``parts`` ranges at bounded
-       approximate percentiles; sum the counts per range.
+       approximate percentiles; sum the counts per range. ``parts`` follows the
+       number of distinct values, about ``per_part`` to a range, 64 at least.
     3. Number values inside a range only, and add the earlier ranges' counts.
     4. Read the values at the two ranks around each quantile and interpolate.
 
@@ -157,9 +158,11 @@ def quantiles(
     if not by:
         base = base.withColumn("__all", F.lit(1))
     freq = stage(base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n")))
+    if parts is None:
+        parts = min(9_000, max(64, freq.count() // per_part))
     cuts = [i / parts for i in range(1, parts)]
     stats = {
-        "__marks": F.percentile_approx("__v", cuts, 1000),
+        "__marks": F.percentile_approx("__v", cuts, max(1000, 8 * parts)),
         "__total": F.sum("__n"),
     }
     if by:

@@ -4,9 +4,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from subscope.catalog import ORACLE, QUERIES
 from tools.check import TABLES, rows_of
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
