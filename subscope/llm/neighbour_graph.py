@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, forest, in_blocks, shipped, sized_join, stage, units
+from .common import components, in_blocks, shipped, stage, units
 
 THRESHOLD = 0.98
 #: Length of a neighbour list.
@@ -148,7 +148,7 @@ def _refined(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def _enlarged(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """node, links, partner of every node that has a link, written: all members of what links reach, compared."""
+    """node, cluster, links of every node that has a link, written: all members of what links reach, compared."""
     pairs = lists.where(F.col("s") >= threshold).select(F.col("node").alias("u"), F.col("other").alias("v"))
     reached = components(pairs).select("node", F.col("root").alias("cluster"))
     dealt = in_blocks(stage(reached), "cluster", "node", BLOCK).join(nodes.select("node", "vec", "weight"), "node")
@@ -162,16 +162,16 @@ def _enlarged(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
             np.fill_diagonal(linked, False)
             if unit["left_block"][0] != unit["right_block"][0]:
                 linked &= unit["block"][:, None] != unit["block"]
-            parent = forest(linked)
-            out += zip(node.tolist(), (linked @ unit["weight"]).tolist(), node[parent].tolist())
+            out += zip(node.tolist(), unit["cluster"].tolist(), (linked @ unit["weight"]).tolist())
             if len(out) > 50_000:
-                yield pd.DataFrame(out, columns=["node", "links", "partner"])
+                yield pd.DataFrame(out, columns=["node", "cluster", "links"])
                 out = []
-        yield pd.DataFrame(out, columns=["node", "links", "partner"])
+        yield pd.DataFrame(out, columns=["node", "cluster", "links"])
 
     order = ("cluster", "left_block", "right_block")
-    return stage(dealt.select(*order, "block", "node", "weight", "vec").repartition(*order).sortWithinPartitions(
-        *order).mapInPandas(compare, "node long, links long, partner long"))
+    found = dealt.select(*order, "block", "node", "weight", "vec").repartition(*order).sortWithinPartitions(
+        *order).mapInPandas(compare, "node long, cluster long, links long")
+    return stage(found.groupBy("node", "cluster").agg(F.sum("links").alias("links")))
 
 
 def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> float:
@@ -226,16 +226,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", embedding_col: s
         F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("weight")).select(
         F.monotonically_increasing_id().alias("node"), "*"))
     lists = _nearest(_ordered_neighbours(nodes))
-    links = None
-    for turn in range(ROUNDS):
+    for _ in range(ROUNDS):
         lists = _nearest(lists.union(_refined(lists, nodes, threshold)))
-        compared = _enlarged(lists, nodes, threshold)
-        links = compared.groupBy("node").agg(F.sum("links").alias("links"))
-        if turn and audit(nodes, links, threshold) >= recall:
+        links = _enlarged(lists, nodes, threshold)
+        if audit(nodes, links, threshold) >= recall:
             break
-    reached = components(compared.where("node <> partner").select(F.col("node").alias("u"), F.col("partner").alias("v")))
-    known = nodes.drop("vec").join(links, "node", "left").join(reached, "node", "left").withColumn(
-        "root", F.coalesce("root", "node"))
+    known = nodes.drop("vec").join(links, "node", "left").withColumn("root", F.coalesce("cluster", "node"))
     named = known.groupBy("root").agg(F.min("least").alias("component_id"))
     known = known.join(named, "root").select("node", "component_id", (
         F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
