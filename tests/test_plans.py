@@ -1,5 +1,6 @@
 """Business rules on literal rows, invariants on the stitched history, plan shape, models."""
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -427,6 +428,17 @@ def test_nested_models_and_tables(choices):
     assert counts.agg(F.sum("predicted")).first()[0] == 600
 
 
+def test_first_bridge_and_currency_rules_change_the_history(spark, sf_dir):
+    t = Inputs(spark, sf_dir)
+    plain = ch.RULES_EARLIEST
+    base = ch.stitched(t, plain)
+    first = ch.stitched(t, replace(plain, first_bridge=True))
+    assert 0 < first.count() <= base.count()
+    capped = ch.stitched(t, replace(plain, currency="CAD", cap=40000))
+    top = lambda df: df.where("new_subid is null").agg(F.sum("rate")).first()[0]
+    assert top(capped) < top(base)
+
+
 def test_models_lose_no_row(spark, choices):
     model = models.fit_multinomial(choices, "product ~ access + total_days")
     odd = choices.limit(1).union(choices.limit(1).withColumn("access", F.lit("never seen"))).union(
