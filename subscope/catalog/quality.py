@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import history as h
 from ..plans import quality as v
-from .history import RULES, base, marked, new_terms, stitched
+from .history import RULES, base, captured, marked, new_terms, stitched
 from .registry import fragment, query
 
 PAID = "donortype = 'I' and subscriptionclass = 'R' and termtype in ('P', 'C')"
@@ -63,7 +63,7 @@ def _(t):
     where s.ispaid and s.subscriptionstatus in ('active', 'past_due')
       and not exists (select 1 from history x where x.new_subid = s.subscriptionid)""")
 def _(t):
-    return v.missing_new_subscriptions(t.subscription, stitched(t), t.header)
+    return v.missing_new_subscriptions(t.subscription, captured(t), t.header)
 
 
 @query("v4_capture_rate", "brand:s total_subs:l captured_subs:l capture_pct:d missing_subs:l",
@@ -77,7 +77,7 @@ def _(t):
     select t.brand, total_subs, captured_subs, captured_subs * 100.0 / total_subs as capture_pct,
       total_subs - captured_subs as missing_subs from total t join found f on f.brand = t.brand""")
 def _(t):
-    return v.capture_rate(t.subscription, stitched(t))
+    return v.capture_rate(t.subscription, captured(t))
 
 
 @query("v5_recognised_revenue_week",
