@@ -77,14 +77,14 @@ def drop_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, **options) -> DataFrame:
     """Write an intermediate once and read it back.
 
     Cuts lineage, survives lost executors, and later readers prune columns.
-    The path is <stage_root>/subscope/<application>/<id>; :func:`drop_staged` when
+    ``options`` are the writer's. The path is <stage_root>/subscope/<application>/<id>; :func:`drop_staged` when
     the application ends.
     """
     spark = df.sparkSession
     path = f"{staged_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
