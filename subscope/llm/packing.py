@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import frame, shipped
 
-#: Chunks, and as many pieces of chunks, that a Python worker memorises.
-MEMO = 600_000
+#: Chunks, and as many pieces of chunks, that a Python worker memorises (about 70 MB).
+MEMO = 300_000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: The characters of an ordinary text: printable ASCII, line ends, and the letters of Latin-1.

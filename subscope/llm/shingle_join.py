@@ -50,7 +50,7 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     words = words_of(text or "")
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    if len(_MEMO) > 400_000:
+    if len(_MEMO) > 150_000:
         _MEMO.clear()
     memo = _MEMO
     codes = []
