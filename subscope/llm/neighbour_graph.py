@@ -4,10 +4,13 @@ Vectors are compared within their label only. Sorted orders of random-hyperplane
 signatures give every vector its first neighbours. Then the graph is refined:
 all neighbours of a vector, in either direction, are compared with each other,
 and each keeps the nearest it has met, until a brute-force audit on a stated
-sample finds the target recall of links. A list that is full of links is
-saturated: it is enlarged to all that links reach from it, whose members are
-compared in blocks, so large groups of copies are complete and no pair of theirs
-is written out. Links are pairs of at least the threshold in double precision.
+sample finds the target recall of links. What links reach is a cluster. Every
+comparison reports a spanning forest of the links it saw, and clusters only grow,
+so no list's length loses a link's connection. A list has slots inside its
+cluster and slots outside: members of its own cluster cannot fill the latter, so
+it is never saturated there. The members of a cluster are compared in blocks, so
+large groups of copies are complete and no pair of theirs is written out. Links
+are pairs of at least the threshold in double precision.
 
 Equal vectors of a label are one node with a weight. Lists of neighbours have a
 fixed length; who names a vector as neighbour is not limited, since a long list
@@ -23,10 +26,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, in_blocks, shipped, stage, units
+from .common import components, few_rows, forest, in_blocks, shipped, stage, units
 
 THRESHOLD = 0.98
-#: Length of a neighbour list.
+#: Slots of a neighbour list inside a cluster, and outside.
 LIST = 8
 #: Orders of the first graph, neighbours to each side in them, bits of a signature.
 ORDERS, SIDE, BITS = 4, 3, 20
@@ -107,19 +110,24 @@ def _ordered_neighbours(nodes: DataFrame) -> DataFrame:
         link, "node long, other long, s double")
 
 
-def _nearest(found: DataFrame, length: int = LIST) -> DataFrame:
-    """The ``length`` nearest others of each node, written; ties go to the smaller number."""
+def _nearest(found: DataFrame, clusters: DataFrame, length: int = LIST) -> DataFrame:
+    """The ``length`` nearest others of each node inside its cluster, and as many outside, written; ties go to the smaller number."""
     best = found.groupBy("node", "other").agg(F.max("s").alias("s"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.col("s").desc(), "other"))
-    return stage(best.withColumn("rank", rank).where(F.col("rank") <= length).drop("rank"))
+    best = best.join(clusters.select("node", F.col("cluster").alias("own")), "node", "left").join(
+        clusters.select(F.col("node").alias("other"), "cluster"), "other", "left")
+    inside = F.coalesce(F.col("own") == F.col("cluster"), F.lit(False))
+    rank = F.row_number().over(Window.partitionBy("node", "inside").orderBy(F.col("s").desc(), "other"))
+    return stage(best.withColumn("inside", inside).withColumn("rank", rank).where(F.col("rank") <= length).select(
+        "node", "other", "s"))
 
 
-def _refined(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """node, other, s of neighbours of a common vector: each one's nearest there."""
+def _refined(lists: DataFrame, nodes: DataFrame, clusters: DataFrame, threshold: float) -> DataFrame:
+    """node, other, s of neighbours of a common vector: each one's nearest there, also outside its cluster, and a forest of the links."""
     both = lists.select("node", "other").union(lists.select("other", "node")).distinct()
     members = stage(both.select(F.col("node").alias("pivot"), F.col("other").alias("node")).union(
         nodes.select(F.col("node").alias("pivot"), "node")))
-    dealt = in_blocks(members, "pivot", "node", BLOCK).join(nodes.select("node", "vec"), "node")
+    dealt = in_blocks(members, "pivot", "node", BLOCK).join(nodes.select("node", "vec"), "node").join(
+        clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         node, other, sim, held = [], [], [], 0
@@ -130,12 +138,25 @@ def _refined(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
             x = _matrix(unit["vec"])
             s = _cosines(x, x)
             np.fill_diagonal(s, -2)
+            pairs = []
+            linked = s >= threshold
+            if linked.any():
+                hangs = forest(linked | linked.T)
+                at = np.flatnonzero(hangs != np.arange(n))
+                pairs.append((at, hangs[at]))
             near = np.argpartition(-s, min(3, n - 2), axis=1)[:, :min(4, n - 1)]
-            at = np.repeat(np.arange(n), near.shape[1])
-            node.append(name[at])
-            other.append(name[near.ravel()])
-            sim.append(s[at, near.ravel()])
-            held += len(at)
+            pairs.append((np.repeat(np.arange(n), near.shape[1]), near.ravel()))
+            same = unit["cluster"][:, None] == unit["cluster"]
+            if same.sum() > n:
+                out = np.where(same, -2, s)
+                near = np.argpartition(-out, min(3, n - 2), axis=1)[:, :min(4, n - 1)]
+                at, near = np.repeat(np.arange(n), near.shape[1]), near.ravel()
+                pairs.append((at[~same[at, near]], near[~same[at, near]]))
+            for at, to in pairs:
+                node.append(name[at])
+                other.append(name[to])
+                sim.append(np.maximum(s[at, to], s[to, at]))
+                held += len(at)
             if held > 200_000:
                 yield pd.DataFrame({"node": np.concatenate(node), "other": np.concatenate(other), "s": np.concatenate(sim)})
                 node, other, sim, held = [], [], [], 0
@@ -143,15 +164,21 @@ def _refined(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
             yield pd.DataFrame({"node": np.concatenate(node), "other": np.concatenate(other), "s": np.concatenate(sim)})
 
     order = ("pivot", "left_block", "right_block")
-    return dealt.select(*order, "node", "vec").repartition(*order).sortWithinPartitions(*order).mapInPandas(
+    return dealt.select(*order, "node", "cluster", "vec").repartition(*order).sortWithinPartitions(*order).mapInPandas(
         compare, "node long, other long, s double")
 
 
-def _enlarged(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """node, cluster, links of every node that has a link, written: all members of what links reach, compared."""
-    pairs = lists.where(F.col("s") >= threshold).select(F.col("node").alias("u"), F.col("other").alias("v"))
-    reached = components(pairs).select("node", F.col("root").alias("cluster"))
-    dealt = in_blocks(stage(reached), "cluster", "node", BLOCK).join(nodes.select("node", "vec", "weight"), "node")
+def _joined(clusters: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
+    """node, cluster of every node that has a link, written: the clusters, joined by the links of ``found``."""
+    pairs = found.where(F.col("s") >= threshold).select(F.col("node").alias("u"), F.col("other").alias("v"))
+    stars = clusters.select(F.col("node").alias("u"), F.col("cluster").alias("v"))
+    reached = stage(components(pairs.union(stars)).select("node", F.col("root").alias("cluster")))
+    return few_rows(reached)(reached)
+
+
+def _enlarged(clusters: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """node, cluster, links of every node that has a link, written: all members of a cluster, compared."""
+    dealt = in_blocks(clusters, "cluster", "node", BLOCK).join(nodes.select("node", "vec", "weight"), "node")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
@@ -225,10 +252,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", embedding_col: s
     nodes = stage(sound.groupBy("grp", "vec").agg(
         F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("weight")).select(
         F.monotonically_increasing_id().alias("node"), "*"))
-    lists = _nearest(_ordered_neighbours(nodes))
+    found = stage(_ordered_neighbours(nodes))
+    clusters = _joined(nodes.select("node", F.col("node").alias("cluster")).limit(0), found, threshold)
+    lists = _nearest(found, clusters)
     for _ in range(ROUNDS):
-        lists = _nearest(lists.union(_refined(lists, nodes, threshold)))
-        links = _enlarged(lists, nodes, threshold)
+        found = stage(_refined(lists, nodes, clusters, threshold))
+        clusters = _joined(clusters, found, threshold)
+        lists = _nearest(lists.union(found), clusters)
+        links = _enlarged(clusters, nodes, threshold)
         if audit(nodes, links, threshold) >= recall:
             break
     known = nodes.drop("vec").join(links, "node", "left").withColumn("root", F.coalesce("cluster", "node"))

@@ -406,6 +406,23 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
     assert max(r[1] for r in got) > 30
 
 
+def test_copies_of_copies_stay_one_component_however_many_rounds(spark, monkeypatch):
+    found = iter([0.0, 0.0, 0.0])
+    monkeypatch.setattr(neighbour_graph, "audit", lambda *args: next(found, 1.0))
+    rng = np.random.default_rng(3)
+
+    def near(x, far, n):
+        y = rng.normal(size=(n, 64))
+        return x + far * y / np.linalg.norm(y, axis=1)[:, None]
+    x = rng.normal(size=64)
+    x = np.vstack([near(c, 0.02, 12) for c in near(x / np.linalg.norm(x), 0.1, 6)])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    assert (x @ x.T).min() >= 0.98
+    got = rows(neighbour_graph.near_duplicates(spark.createDataFrame(
+        [(k, v.tolist(), 0) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")))
+    same(got, [(k, 71, 0, k == 0) for k in range(72)])
+
+
 def test_near_vectors_empty(spark):
     assert neighbour_graph.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
