@@ -3,8 +3,9 @@
 Vectors are compared within their label only. Sorted orders of random-hyperplane
 signatures give every vector its first neighbours. Then the graph is refined:
 all neighbours of a vector, in either direction, are compared with each other,
-and each keeps the nearest it has met, until a brute-force audit on a stated
-sample finds the target recall of links. What links reach is a cluster. Every
+and each keeps the nearest it has met, for at least two rounds and until a
+brute-force audit finds the target recall: the mean share of a linked node's true
+links, over a sample that grows until it holds LINKED such nodes. What links reach is a cluster. Every
 comparison reports a spanning forest of the links it saw, and clusters only grow,
 so no list's length loses a link's connection. A list has slots inside its
 cluster and slots outside: members of its own cluster cannot fill the latter, so
@@ -35,8 +36,8 @@ LIST = 8
 ORDERS, SIDE, BITS = 4, 3, 20
 #: Vectors of a block; a task holds two blocks.
 BLOCK = 256
-#: Vectors that an audit compares with all others.
-AUDIT = 400
+#: Vectors that an audit compares with all others: at first, and at most; it ends with so many that have links.
+AUDIT, AUDIT_MOST, LINKED = 400, 25_600, 200
 RECALL = 0.99
 ROUNDS = 4
 
@@ -177,7 +178,10 @@ def _joined(clusters: DataFrame, found: DataFrame, threshold: float) -> DataFram
 
 
 def _enlarged(clusters: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """node, cluster, links of every node that has a link, written: all members of a cluster, compared."""
+    """node, cluster, links, near of every node that has a link, written: all members of a cluster, compared.
+
+    ``near`` counts linked nodes, ``links`` their copies too.
+    """
     dealt = in_blocks(clusters, "cluster", "node", BLOCK).join(nodes.select("node", "vec", "weight"), "node")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,48 +193,71 @@ def _enlarged(clusters: DataFrame, nodes: DataFrame, threshold: float) -> DataFr
             np.fill_diagonal(linked, False)
             if unit["left_block"][0] != unit["right_block"][0]:
                 linked &= unit["block"][:, None] != unit["block"]
-            out += zip(node.tolist(), unit["cluster"].tolist(), (linked @ unit["weight"]).tolist())
+            out += zip(node.tolist(), unit["cluster"].tolist(), (linked @ unit["weight"]).tolist(), linked.sum(1).tolist())
             if len(out) > 50_000:
-                yield pd.DataFrame(out, columns=["node", "cluster", "links"])
+                yield pd.DataFrame(out, columns=["node", "cluster", "links", "near"])
                 out = []
-        yield pd.DataFrame(out, columns=["node", "cluster", "links"])
+        yield pd.DataFrame(out, columns=["node", "cluster", "links", "near"])
 
     order = ("cluster", "left_block", "right_block")
     found = dealt.select(*order, "block", "node", "weight", "vec").repartition(*order).sortWithinPartitions(
-        *order).mapInPandas(compare, "node long, cluster long, links long")
-    return stage(found.groupBy("node", "cluster").agg(F.sum("links").alias("links")))
+        *order).mapInPandas(compare, "node long, cluster long, links long, near long")
+    return stage(found.groupBy("node", "cluster").agg(F.sum("links").alias("links"), F.sum("near").alias("near")))
 
 
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> float:
-    """Share of the true links of the ``sample`` nodes with the least hash that ``links`` (node, links) counts.
+def sampled_truth(nodes: DataFrame, threshold: float, sample: int = AUDIT, most: int = AUDIT_MOST,
+                  linked: int = LINKED) -> tuple[dict[int, int], int, bool]:
+    """True links by brute force of sampled nodes that have any, how many nodes were sampled, whether that is evidence.
 
-    The sample goes to every task, at most AUDIT vectors; all vectors are compared
-    with it where they lie.
+    A range of a hash holds about ``sample`` nodes at first and four times as many
+    each time, until ``linked`` of them have a link, or all nodes or ``most`` are
+    sampled. Copies are one node. It is evidence if ``linked`` were found or all
+    nodes sampled. A slice of the sample goes to every task.
     """
-    asked = nodes.orderBy(F.xxhash64(F.col("node") * 7 + 1), "node").limit(sample).select("node", "grp", "vec").collect()
-    if not asked:
-        return 1.0
+    total, true, done, low, size = nodes.count(), {}, 0, 0, sample
+    spot = F.pmod(F.xxhash64(F.col("node") * 7 + 1), F.lit(1 << 40))
+    while True:
+        high = min(1 << 40, (min(size, most) << 40) // max(total, 1))
+        chosen = nodes.where((spot >= low) & (spot < high)).select("node", "grp", "vec").collect()
+        true.update(_true_links(nodes, chosen, threshold))
+        done, low = done + len(chosen), high
+        if len(true) >= linked or high == 1 << 40:
+            return true, done, True
+        if size >= most:
+            return true, done, False
+        size *= 4
+
+
+def _true_links(nodes: DataFrame, asked: list, threshold: float) -> dict[int, int]:
+    """The number of nodes that each asked one (node, grp, vec) links with, if any."""
     sets: dict[tuple, tuple] = {}
     for r in asked:
-        sets.setdefault((r["grp"], len(r["vec"])), ([], []))
-        names, cells = sets[r["grp"], len(r["vec"])]
+        names, cells = sets.setdefault((r["grp"], len(r["vec"])), ([], []))
         names.append(r["node"])
         cells.append(bytes(r["vec"]))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for key, part in batch.groupby([batch["grp"], batch["vec"].map(len)]):
-                if key not in sets:
-                    continue
-                names, cells = sets[key]
-                linked = _cosines(_matrix(cells), _matrix(part["vec"].to_numpy())) >= threshold
-                linked &= np.array(names)[:, None] != part["node"].to_numpy()
-                yield pd.DataFrame({"node": names, "n": linked @ part["weight"].to_numpy()})
-
-    true = nodes.select("node", "grp", "vec", "weight").mapInPandas(count, "node long, n long").groupBy("node").agg(
-        F.sum("n").alias("n"))
-    got = true.join(links, "node", "left").agg(F.sum("n"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return 1.0 if not got[0] else (got[1] or 0) / got[0]
+                names, cells = sets.get(key, ([], []))
+                here, y = part["node"].to_numpy(), _matrix(part["vec"].to_numpy())
+                for low in range(0, len(names), BLOCK):
+                    name = np.array(names[low:low + BLOCK])
+                    linked = _cosines(_matrix(cells[low:low + BLOCK]), y) >= threshold
+                    linked &= name[:, None] != here
+                    n = linked.sum(1)
+                    yield pd.DataFrame({"node": name[n > 0], "n": n[n > 0]})
+
+    found = nodes.select("node", "grp", "vec").mapInPandas(count, "node long, n long")
+    return {r["node"]: r["n"] for r in found.groupBy("node").agg(F.sum("n").alias("n")).collect()}
+
+
+def audit(true: dict[int, int], links: DataFrame) -> float:
+    """Mean share of each sampled linked node's true links that ``links`` (node, near) counts; 1 if no node has any."""
+    if not true:
+        return 1.0
+    got = {r["node"]: r["near"] for r in links.where(F.col("node").isin(list(true))).select("node", "near").collect()}
+    return sum(min(1.0, got.get(k, 0) / n) for k, n in true.items()) / len(true)
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", embedding_col: str = "embedding",
@@ -255,14 +282,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", embedding_col: s
     found = stage(_ordered_neighbours(nodes))
     clusters = _joined(nodes.select("node", F.col("node").alias("cluster")).limit(0), found, threshold)
     lists = _nearest(found, clusters)
-    for _ in range(ROUNDS):
+    true, sampled, evident = sampled_truth(nodes, threshold)
+    for turn in range(ROUNDS):
         found = stage(_refined(lists, nodes, clusters, threshold))
         clusters = _joined(clusters, found, threshold)
         lists = _nearest(lists.union(found), clusters)
         links = _enlarged(clusters, nodes, threshold)
-        if audit(nodes, links, threshold) >= recall:
+        # The first round's lists are those of the sorted orders; without evidence all rounds are made.
+        if turn and evident and audit(true, links) >= recall:
             break
-    known = nodes.drop("vec").join(links, "node", "left").withColumn("root", F.coalesce("cluster", "node"))
+    known = nodes.drop("vec").join(links.drop("near"), "node", "left").withColumn("root", F.coalesce("cluster", "node"))
     named = known.groupBy("root").agg(F.min("least").alias("component_id"))
     known = known.join(named, "root").select("node", "component_id", (
         F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))

@@ -423,6 +423,20 @@ def test_copies_of_copies_stay_one_component_however_many_rounds(spark, monkeypa
     same(got, [(k, 71, 0, k == 0) for k in range(72)])
 
 
+def test_audit_sees_small_groups(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 16))
+    x[1] = x[0] + 0.01
+    x[3] = x[2] + 0.01
+    items = [(k, "a", v.astype("<f8").tobytes(), 5000 if k < 2 else 1) for k, v in enumerate(x)]
+    nodes = spark.createDataFrame(items, "node long, grp string, vec binary, weight long")
+    true, sampled, evident = neighbour_graph.sampled_truth(nodes, 0.98)
+    assert true == {0: 1, 1: 1, 2: 1, 3: 1} and sampled == 900 and evident
+    assert not neighbour_graph.sampled_truth(nodes, 0.98, sample=2, most=8)[2]
+    links = spark.createDataFrame([(0, 0, 5000, 1), (1, 0, 5000, 1)], "node long, cluster long, links long, near long")
+    assert neighbour_graph.audit(true, links) == 0.5
+
+
 def test_near_vectors_empty(spark):
     assert neighbour_graph.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
