@@ -437,6 +437,18 @@ def test_audit_sees_small_groups(spark, monkeypatch):
     assert neighbour_graph.audit(true, links) == 0.5
 
 
+def test_missed_recall_is_an_error_and_orders_follow_the_size(spark, monkeypatch):
+    assert [neighbour_graph._orders(n, 0.98) for n in (1, 100, 10**7)][:2] == [4, 4]
+    assert neighbour_graph._orders(10**5, 0.98) > 4 and neighbour_graph._orders(10**7, 0.98) > 8
+    monkeypatch.setattr(neighbour_graph, "ROUNDS", 1)
+    monkeypatch.setattr(neighbour_graph, "audit", lambda *args: 0.5)
+    x = np.random.default_rng(1).normal(size=(20, 8))
+    x[1] = x[0] + 0.001
+    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    with pytest.raises(RuntimeError, match="0.5000"):
+        neighbour_graph.near_duplicates(df)
+
+
 def test_near_vectors_empty(spark):
     assert neighbour_graph.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
