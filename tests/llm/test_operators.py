@@ -551,6 +551,20 @@ def test_repeats_of_a_host_go_where_no_article_is_marked(spark):
     assert main_text.extract(pages).count() == len(items) and main_text.extract(pages.limit(0)).count() == 0
 
 
+def test_no_page_text_is_broadcast(spark, monkeypatch):
+    joined = []
+
+    def sized(big, written, on, how="inner"):
+        joined.append(written.columns)
+        return big.join(F.broadcast(written), on, how)
+    monkeypatch.setattr(main_text, "sized_join", sized)
+    pages = spark.createDataFrame([(1, "http://h.org/1", "<p>open text"), (2, "http://h.org/2", "<article>marked")],
+                                  "page_id long, url string, html string")
+    got = rows(main_text.extract(pages))
+    same([(r[0], r[2], r[3], r[4], r[5]) for r in got], [(1, "open text", 9, False, 0), (2, "marked", 6, True, 0)])
+    assert joined == [["row", "n_boilerplate"]]
+
+
 def test_repeated_runs_equal_brute_force(spark):
     rng = np.random.default_rng(4)
     streams = [(k, "h", [f"w{x}" for x in rng.integers(0, 3, 60)]) for k in range(4)]
