@@ -6,8 +6,9 @@ and are represented once. A representative's MinHash signature gives its label
 in each of TREES prefix trees. Two documents of similarity s share the first d
 hashes of a label with probability s^d, so matching starts at prefixes of DEEPEST
 hashes and shortens them, one hash at a time, until documents at the threshold
-meet in some tree with the target recall, and until the links found so far say
-that no more than the allowed share of links is missing.
+meet in some tree with the target recall. So the depth is fixed by formula (5 at
+the default threshold); the test on the links found cannot fail there, since a
+link's chance is never taken below that of one at the threshold.
 
 Subtrees that hold several documents are compared by signature, in blocks;
 documents that the signatures cannot tell from similar ones form clusters, and
