@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    captures, line_quality, main_text, mixing, neighbour_graph, packing, personal_data, quality_rules,
-    shingle_join, temporal_lists)
+    captures, centroids, hash_tree, line_quality, main_text, mixing, neighbour_graph, packing, personal_data,
+    quality_rules, shingle_join, square_catchers, temporal_lists)
 from .common import read
 
 
@@ -77,14 +77,28 @@ def op10_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.join(read(spark, sf_dir, "documents"))
 
 
+def op11_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.manifest(read(spark, sf_dir, "documents"), hash_tree.founded())
+
+
+def op12_square_catcher_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = square_catchers.detect(read(spark, sf_dir, "documents"), rewrite=square_catchers.planted)
+    return square_catchers.digest(found)
+
+
+def op13_native_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pareto_mix, op2_neighbour_descent_near_dedup, op3_two_level_capture_index, op4_temporal_list_join, op5_power_of_two_packing, op6_semi_markov_personal_data, op7_line_crf_quality,
         op8_robust_outlier_rules, op9_host_suffix_array_text,
-        op10_lsh_forest_join)}
+        op10_lsh_forest_join, op11_hash_tree_shards, op12_square_catcher_runs, op13_native_centroids)}
 
 ORACLE: dict[str, str] = {
     "op1_pareto_mix": mixing.oracle("documents"),
     "op3_two_level_capture_index": captures.ORACLE,
     "op4_temporal_list_join": temporal_lists.ORACLE,
+    "op11_hash_tree_shards": hash_tree.oracle(hash_tree.founded()),
 }
