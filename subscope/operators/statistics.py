@@ -8,13 +8,16 @@ whose only predictor is a period or segment has a closed form, so one
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, ratio
+from ..functions.columns import ratio
+from ..functions.distributions import beta_greater, chi_square_sf, normal_cdf, t_cdf, t_quantile
+
+#: Quantile of the standard normal distribution at 0.975.
+Z95 = 1.959963984540054
 
 
 def beta_posterior(counts: DataFrame, k: str, n: str) -> DataFrame:
@@ -26,23 +29,6 @@ def beta_posterior(counts: DataFrame, k: str, n: str) -> DataFrame:
     )
 
 
-def normal_cdf(z) -> Column:
-    """Standard normal distribution function as column arithmetic (error below 1e-7).
-
-    Polynomial of Abramowitz and Stegun 26.2.17.
-    """
-    # The published coefficients.
-    coeffs = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
-    z = col(z)
-    x = F.abs(z)
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.2316419) * x)
-    poly = F.lit(0.0)
-    for c in reversed(coeffs):
-        poly = (poly + F.lit(c)) * t
-    upper = F.exp(-x * x / 2) / F.lit(math.sqrt(2 * math.pi)) * poly
-    return F.when(z >= 0, F.lit(1.0) - upper).otherwise(upper)
-
-
 def pair_columns(df: DataFrame, by: str, a, b, cols: Sequence[str]) -> DataFrame:
     """The rows of two groups side by side: ``<col>_a`` and ``<col>_b``."""
     picks = []
@@ -51,36 +37,52 @@ def pair_columns(df: DataFrame, by: str, a, b, cols: Sequence[str]) -> DataFrame
     return df.agg(*picks)
 
 
-def proportion_diff(posterior: DataFrame, by: str, a, b) -> DataFrame:
-    """b minus a: mean difference, 95 % normal interval and P(difference > 0)."""
-    p = pair_columns(posterior, by, a, b, ["post_mean", "post_var"])
+def proportion_diff(posterior: DataFrame, by: str, a, b, k: str, n: str) -> DataFrame:
+    """b minus a: mean difference, 95 % normal interval and the exact P(difference > 0)."""
+    p = pair_columns(posterior, by, a, b, ["post_mean", "post_var", k, n])
     diff = F.col("post_mean_b") - F.col("post_mean_a")
     sd = F.sqrt(F.col("post_var_a") + F.col("post_var_b"))
+    shape = [x for s in ("a", "b") for x in (F.col(f"{k}_{s}") + 1, F.col(f"{n}_{s}") - F.col(f"{k}_{s}") + 1)]
     return p.select(
         diff.alias("diff"),
         (diff - F.lit(1.96) * sd).alias("lo"),
         (diff + F.lit(1.96) * sd).alias("hi"),
-        normal_cdf(diff / sd).alias("p_positive"),
+        beta_greater(*shape).alias("p_positive"),
     )
 
 
+def _tails(below: Column) -> list[Column]:
+    """p-values of a statistic by its distribution function: two-sided, for "less", for "greater"."""
+    return [(2 * F.least(below, 1 - below)).alias("p_two_sided"), below.alias("p_less"), (1 - below).alias("p_greater")]
+
+
 def prop_test(counts: DataFrame, by: str, a, b, k: str, n: str) -> DataFrame:
-    """Two-sample proportion test with continuity correction: chi-square on one degree."""
+    """Two-sample proportion test with continuity correction.
+
+    Chi-square on one degree, its p-value and those of both one-sided tests, and
+    the 95 % interval of a minus b, kept within -1 and 1.
+    """
     p = pair_columns(counts, by, a, b, [k, n])
     ka, kb = F.col(f"{k}_a").cast("double"), F.col(f"{k}_b").cast("double")
     na, nb = F.col(f"{n}_a").cast("double"), F.col(f"{n}_b").cast("double")
     pool = (ka + kb) / (na + nb)
-    diff = F.abs(ka / na - kb / nb)
+    delta = ka / na - kb / nb
     inv = F.lit(1.0) / na + F.lit(1.0) / nb
-    corr = F.least(F.lit(0.5), diff / inv)
-    stat = F.pow(F.greatest(diff - corr * inv, F.lit(0.0)), 2) / (pool * (1 - pool) * inv)
-    return p.select(
-        (ka / na).alias("prop_a"), (kb / nb).alias("prop_b"), stat.alias("chi_square")
-    )
+    corr = F.least(F.lit(0.5), F.abs(delta) / inv)
+    stat = F.pow(F.greatest(F.abs(delta) - corr * inv, F.lit(0.0)), 2) / (pool * (1 - pool) * inv)
+    width = F.lit(Z95) * F.sqrt(ka / na * (1 - ka / na) / na + kb / nb * (1 - kb / nb) / nb) + corr * inv
+    first = p.select((ka / na).alias("prop_a"), (kb / nb).alias("prop_b"), delta.alias("__d"),
+                     stat.alias("chi_square"), width.alias("__w"))
+    below = normal_cdf(F.signum("__d") * F.sqrt("chi_square"))
+    return first.select(
+        "prop_a", "prop_b", "chi_square", chi_square_sf("chi_square", F.lit(1.0)).alias("p_two_sided"),
+        below.alias("p_less"), (1 - below).alias("p_greater"),
+        F.greatest(F.col("__d") - F.col("__w"), F.lit(-1.0)).alias("lo"),
+        F.least(F.col("__d") + F.col("__w"), F.lit(1.0)).alias("hi"))
 
 
 def welch_t(df: DataFrame, value: str, by: str, a, b) -> DataFrame:
-    """Welch's t and its degrees of freedom for mean(a) - mean(b)."""
+    """Welch's t, its degrees of freedom and p-values, and the 95 % interval of mean(a) - mean(b)."""
     v = F.col(value).cast("double")
     stats = df.groupBy(by).agg(
         F.avg(v).alias("m"), F.var_samp(v).alias("v"), F.count(v).cast("double").alias("n")
@@ -90,10 +92,16 @@ def welch_t(df: DataFrame, value: str, by: str, a, b) -> DataFrame:
     dof = F.pow(sa + sb, 2) / (
         F.pow(sa, 2) / (F.col("n_a") - 1) + F.pow(sb, 2) / (F.col("n_b") - 1)
     )
-    return p.select(
+    first = p.select(
         F.col("m_a").alias("mean_a"), F.col("m_b").alias("mean_b"),
         ((F.col("m_a") - F.col("m_b")) / F.sqrt(sa + sb)).alias("t"), dof.alias("dof"),
+        F.sqrt(sa + sb).alias("__se"),
     )
+    width = t_quantile(F.lit(0.975), "dof") * F.col("__se")
+    told = first.select("*", t_cdf("t", "dof").alias("__below"), width.alias("__w"))
+    diff = F.col("mean_a") - F.col("mean_b")
+    return told.select("mean_a", "mean_b", "t", "dof", *_tails(F.col("__below")),
+                       (diff - F.col("__w")).alias("lo"), (diff + F.col("__w")).alias("hi"))
 
 
 def negbin_moments(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
