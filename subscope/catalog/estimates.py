@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from ..operators import likelihood as lik
 from ..operators import statistics as s
 from ..plans import engagement as e
 from ..plans.sampling import sample_users, stratified_split
@@ -106,6 +109,127 @@ def _(t):
     return s.negbin_moments(rows, "n_articles", ["period"])
 
 
+def user_articles(t):
+    return e.visits_and_articles(visits(t)).select("ref_id", "period", "total_articles")
+
+
+# The shape by Newton's method on its logarithm. A difference of digamma functions at whole
+# distances is a finite sum, so the score sums over the tail counts 1 / (theta + j).
+def _shape_sql(rows: str, per: str, steps: int = 14) -> str:
+    """CTEs ``shapes`` (k, theta, curve): one shape for each ``per`` of ``rows`` (k, period, y)."""
+    text = f"""
+    cells as (select {per} as k, period, y, count(*) as m from ({rows}) r group by all),
+    means as (select k, period, sum(m) as n, sum(m * y) / sum(m) as mean from cells group by all),
+    tails as (select k, j, sum(m) as tail from (select k, m, unnest(range(cast(y as bigint))) as j from cells) c group by all),
+    f0 as (select k, ln(sum(m * mean * mean) / (sum(m * pow(y - mean, 2)) - sum(m * mean))) as phi
+      from cells join means using (k, period) group by k having sum(m * pow(y - mean, 2)) > sum(m * mean))"""
+    for i in range(steps):
+        text += f""",
+    g{i} as (select f.k, any_value(exp(phi)) as th, sum(tail / (exp(phi) + j)) as up, sum(tail / pow(exp(phi) + j, 2)) as down
+      from f{i} f join tails t on t.k = f.k group by f.k),
+    h{i} as (select g.k, any_value(th) as th, any_value(up) + sum(n * ln(th / (th + mean))) as score,
+        -any_value(down) + sum(n * (1 / th - 1 / (th + mean))) as curve from g{i} g join means m on m.k = g.k group by g.k),
+    f{i + 1} as (select k, ln(th) + greatest(-2, least(2, case when th * th * curve + th * score < 0
+        then -th * score / (th * th * curve + th * score) else sign(score) end)) as phi from h{i})"""
+    return text + f""",
+    shapes as (select k, th as theta, curve from h{steps - 1}),
+    fits as (select m.k, period, n, mean, theta, curve, sqrt((1 / mean + coalesce(1 / theta, 0)) / n) as se_log_mean
+      from means m left join shapes s on s.k = m.k)"""
+
+
+@query("t5_negbin_fit", "period:s n:l mean:d theta:d se_log_mean:d se_theta:d loglik:d", ["user_days"], f"""
+    with {_shape_sql("select period, n_articles as y from user_days", "period")},
+    lik as (select k, sum(m * (lgamma(y + theta) - lgamma(theta) - lgamma(y + 1) + theta * ln(theta / (theta + mean))
+        + y * ln(mean / (theta + mean)))) as loglik from cells join fits using (k, period) group by k)
+    select period, n, mean, theta, se_log_mean, sqrt(-1 / curve) as se_theta, loglik from fits left join lik using (k)""")
+def _(t):
+    return lik.negbin_fit(user_articles(t), "total_articles", ["period"])
+
+
+@query("t5_negbin_difference", "mean_a:d mean_b:d diff:d se:d lo:d hi:d p_positive:d", ["user_days"], f"""
+    with {_shape_sql("select period, n_articles as y from user_days", "1")},
+    here as (select any_value(mean) filter (period = 'P1') as mean_a, any_value(mean) filter (period = 'P2') as mean_b,
+      sqrt(sum(pow(mean * se_log_mean, 2))) as se from fits),
+    area as (select *, mean_b - mean_a as diff,
+      {_area("(select abs(mean_b - mean_a) / se from here)", "exp(-x * x / 2) / sqrt(2 * pi())")} as half from here)
+    select mean_a, mean_b, diff, se, diff - {_Z} * se as lo, diff + {_Z} * se as hi, 0.5 + sign(diff) * half as p_positive
+    from area""")
+def _(t):
+    return lik.mean_difference(lik.negbin_fit(user_articles(t), "total_articles", ["period"], []), "period", "P1", "P2")
+
+
+@query("t5_negbin_random_intercept", "level:s n_rows:l n_groups:l log_mean:d se:d lo:d hi:d sd_group:d theta:d loglik:d converged:b")
+def _(t):
+    return lik.negbin_random_intercept(user_articles(t), "total_articles", "period", "ref_id", ["P1", "P2"])
+
+
+# The ratio of the variances by halving an interval of its logarithm where the profile's slope
+# changes sign, over the rows' own groups.
+def _intercept_sql(rows: str, steps: int = 48) -> str:
+    """CTE ``told`` (level, mean, se, sd_group, sd_residual) for ``rows`` (level, grp, v) of two levels P1 and P2."""
+    text = f"""
+    per as (select grp, count(*) as n, sum(v) as s, sum(v * v) as q, count(*) filter (level = 'P1') as n0,
+      count(*) filter (level = 'P2') as n1, coalesce(sum(v) filter (level = 'P1'), 0) as s0,
+      coalesce(sum(v) filter (level = 'P2'), 0) as s1 from ({rows}) r group by grp),
+    b0 as (select -16.0::double as lo, 16.0::double as hi)"""
+    sums = """sum(n) as rows, sum(q) - sum(r / (1 + n * r) * s * s) as c, sum(s0) - sum(r / (1 + n * r) * n0 * s) as y0,
+      sum(s1) - sum(r / (1 + n * r) * n1 * s) as y1, sum(n0) - sum(r / (1 + n * r) * n0 * n0) as a00,
+      sum(n1) - sum(r / (1 + n * r) * n1 * n1) as a11, -sum(r / (1 + n * r) * n0 * n1) as a01"""
+    for i in range(steps + 1):
+        text += f""",
+    e{i} as (select any_value(lo) as lo, any_value(hi) as hi, any_value(r) as r, {sums} from per, (select *, exp((lo + hi) / 2) as r from b{i}) mid),
+    w{i} as (select *, (y0 * a11 - y1 * a01) / (a00 * a11 - a01 * a01) as m0, (y1 * a00 - y0 * a01) / (a00 * a11 - a01 * a01) as m1 from e{i}),
+    v{i} as (select *, (c - y0 * m0 - y1 * m1) / rows as var from w{i}),
+    u{i} as (select any_value(lo) as lo, any_value(hi) as hi, sum(pow(s - n0 * m0 - n1 * m1, 2) / pow(1 + n * r, 2)) / any_value(var)
+      - sum(n / (1 + n * r)) as slope from per, v{i}),
+    b{i + 1} as (select case when slope > 0 then (lo + hi) / 2 else lo end as lo, case when slope > 0 then hi else (lo + hi) / 2 end as hi from u{i})"""
+    return text + f""",
+    told as (select unnest(['P1', 'P2']) as level, unnest([m0, m1]) as mean, unnest([sqrt(var * a11 / (a00 * a11 - a01 * a01)),
+      sqrt(var * a00 / (a00 * a11 - a01 * a01))]) as se, sqrt(case when lo > -16 then r * var else 0 end) as sd_group, sqrt(var) as sd_residual from v{steps})"""
+
+
+INTERCEPT = "mean:d se:d sd_group:d sd_residual:d icc:d"
+
+
+@query("t6_hurdle_random_intercept", f"level:s n:l zero_share:d {INTERCEPT}", ["per_week"], f"""
+    with {_intercept_sql("select period as level, ref_id as grp, ln(articles_per_week) as v from per_week where total > 0")},
+    shares as (select period as level, count(*) as n, avg(case when total = 0 then 1.0 else 0.0 end) as zero_share
+      from per_week group by 1)
+    select *, pow(sd_group, 2) / (pow(sd_group, 2) + pow(sd_residual, 2)) as icc from shares join told using (level)""")
+def _(t):
+    weekly = e.articles_per_week(visits(t), PERIODS)
+    zeros = s.hurdle_lognormal(weekly, "articles_per_week", ["period"]).select(
+        F.col("period").alias("level"), "n", "zero_share")
+    read = weekly.where("articles_per_week > 0").withColumn("v", F.ln("articles_per_week"))
+    return zeros.join(lik.random_intercept(read, "v", "period", "ref_id", ["P1", "P2"]), "level")
+
+
+@query("t7_price_random_intercept", f"level:s n_rows:l n_groups:l {INTERCEPT}", ["order_lines"], f"""
+    with lines as (select case when l_linestatus = 'O' then 'P1' else 'P2' end as level, l_partkey as grp,
+      ln(l_extendedprice) as v from order_lines),
+    {_intercept_sql("select * from lines")}
+    select *, pow(sd_group, 2) / (pow(sd_group, 2) + pow(sd_residual, 2)) as icc from told
+    join (select level, count(*) as n_rows, (select count(*) from per) as n_groups from lines group by 1) c using (level)""")
+def _(t):
+    """Log price by line status, each part with its own level."""
+    lines = t.order_lines.select(F.when(F.col("l_linestatus") == "O", "P1").otherwise("P2").alias("level"),
+                                 "l_partkey", F.ln("l_extendedprice").alias("v"))
+    return lik.random_intercept(lines, "v", "level", "l_partkey", ["P1", "P2"])
+
+
+@query("t7_lognormal_weekend_intercept", f"level:s n_rows:l n_groups:l {INTERCEPT}", ["visits"], f"""
+    with days as (select period, hit_date, sum(n_articles) as total, dayofweek(hit_date) in (0, 6) as is_weekend
+      from visits group by 1, 2),
+    {_intercept_sql("select period as level, is_weekend as grp, ln(total) as v from days where total > 0")}
+    select *, pow(sd_group, 2) / (pow(sd_group, 2) + pow(sd_residual, 2)) as icc from told
+    join (select period as level, count(*) as n_rows, (select count(*) from per) as n_groups from days where total > 0 group by 1) c
+      using (level)""")
+def _(t):
+    days = visits(t).groupBy("period", "hit_date").agg(F.sum("n_articles").alias("total")).where("total > 0")
+    days = days.withColumn("is_weekend", F.dayofweek("hit_date").isin(1, 7)).withColumn("v", F.ln("total"))
+    return lik.random_intercept(days, "v", "period", "is_weekend", ["P1", "P2"])
+
+
 @query("t6_hurdle_lognormal", "period:s n:l zero_share:d log_mean:d log_sd:d", ["per_week"], """
     select period, count(*) as n, avg(case when total = 0 then 1.0 else 0.0 end) as zero_share,
       avg(case when total > 0 then ln(articles_per_week) end) as log_mean,
