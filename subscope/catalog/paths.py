@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..plans import inference as inf
 from ..plans import models as m
 from ..plans import paths as n
 from ..plans.sampling import stratified_split
@@ -282,7 +283,7 @@ def _(t):
     return n.combo_share(rows(t))
 
 
-# --- models: estimates, so no oracle; tests bound their log-loss ---------------------------
+# --- models with many predictors: estimates, so no oracle; tests bound their log-loss ---------------------------
 
 SIMPLE = "product ~ access + total_days + last_touch"
 BASIC = SIMPLE + " + " + " + ".join(n.COUNTS)
@@ -379,3 +380,160 @@ def _(t):
        "last_touch:s category:s channel:s visit_count:l mean_probability:d")
 def _(t):
     return n.score_by_visit_count(scores(t))
+
+
+# --- errors, left-out rows and reports of a model whose maximum has a closed form -----------------
+# With one text predictor the fitted probabilities are the shares by level, and the information
+# is that of a table of counts.
+
+fragment("cells", ("model_rows",), """
+  select access, product, (select count(*) from model_rows r where r.access = a.access and r.product = c.product) as k,
+    (select count(*) from model_rows r where r.access = a.access) as n
+  from (select distinct access from model_rows) a, (select distinct product from model_rows) c""")
+fragment("access_scores", ("model_rows", "cells"), """
+  select r.* exclude (product), c.product as category, k * 1.0 / n as probability
+  from model_rows r join cells c on c.access = r.access""")
+
+
+def access_fit(t, by="access"):
+    r = model_input(t)
+    return r, inf.maximum(m.fit_multinomial(r, f"product ~ {by}", reg=0.0), r)
+
+
+def access_scores(t):
+    r, fit = access_fit(t)
+    return inf.score_long(fit, r.drop("product"))
+
+
+@query("t9_fit_access", "model:s n:l parameters:l loglik:d log_loss:d", ["cells"], """
+    select 'access' as model, sum(k) as n, sum(k * ln(k * 1.0 / n)) as loglik, -sum(k * ln(k * 1.0 / n)) / sum(k) as log_loss,
+      (select sum(seen - 1) from (select count(*) as seen from cells where k > 0 group by access) x) as parameters
+    from cells where k > 0""")
+def _(t):
+    return inf.fit_report({"access": access_fit(t)[1]})
+
+
+def _left_out(by: str) -> str:
+    """ln of each row's probability by a fit without it (one Newton step), for product ~ ``by``."""
+    return f"""select uid, purchase_id, product, row_number() over (order by uid, purchase_id, product, access, last_touch) as place,
+      case when n = 1 then 0 else ln(p) - 1 / ((n - 1) * p) - ln(1 - p + p * exp(-1 / ((n - 1) * p))) end as l, ln(p) as f
+    from (select *, count(*) over (partition by {by}) as n,
+      count(*) over (partition by {by}, product) * 1.0 / count(*) over (partition by {by}) as p from model_rows) x"""
+
+
+@query("t10_loo_compare", "model:s n:l elpd:d se:d parameters:d elpd_diff:d se_diff:d", ["model_rows"], f"""
+    with a as ({_left_out("access")}), b as ({_left_out("last_touch")}),
+    two as (select a.l as la, b.l as lb, a.f as fa, b.f as fb from a join b using (place)),
+    s as (select count(*) as n, sum(la) as ea, sum(lb) as eb, stddev_samp(la) as sa, stddev_samp(lb) as sb,
+      stddev_samp(la - lb) as sd, sum(fa) as fa, sum(fb) as fb from two)
+    select 'access' as model, n, ea as elpd, sqrt(n) * sa as se, fa - ea as parameters, ea - greatest(ea, eb) as elpd_diff,
+      case when ea >= eb then 0 else sqrt(n) * sd end as se_diff from s
+    union all
+    select 'last_touch', n, eb, sqrt(n) * sb, fb - eb, eb - greatest(ea, eb), case when eb > ea then 0 else sqrt(n) * sd end from s""")
+def _(t):
+    r, one = access_fit(t)
+    return inf.loo_compare({"access": one, "last_touch": inf.maximum(m.fit_multinomial(r, "product ~ last_touch", reg=0.0), r)}, r)
+
+
+_TAIL = ("1 - sqrt(2 / pi()) * abs(z) / 12000 * list_sum(list_transform(range(4001), lambda i: (case when i in (0, 4000) then 1 "
+         "when i % 2 = 1 then 4 else 2 end) * exp(-pow(i * z / 4000, 2) / 2)))")
+
+
+@query("t12_odds_ratio_intervals",
+       "category:s predictor:s coefficient:d odds_ratio:d se:d z:d p_value:d lo:d hi:d", ["cells"], f"""
+    with base as (select min(product) as c0, min(access) as a0 from cells),
+    t as (select c.product as category, c.access, c.k as kj, x.k as k0, y.k as oj, z.k as o0
+      from cells c, base join cells x on x.product = c.product and x.access = a0
+      join cells y on y.product = c0 and y.access = c.access join cells z on z.product = c0 and z.access = a0
+      where c.product <> c0),
+    u as (select category, '(intercept)' as predictor, ln(k0 * 1.0 / o0) as coefficient, sqrt(1.0 / k0 + 1.0 / o0) as se
+      from t, base where access = a0 and k0 > 0 and o0 > 0
+      union all select category, 'access_' || access, ln(kj * o0 * 1.0 / (oj * k0)), sqrt(1.0 / kj + 1.0 / o0 + 1.0 / oj + 1.0 / k0)
+      from t, base where access <> a0 and kj > 0 and o0 > 0 and oj > 0 and k0 > 0
+      union all select category, case when access = a0 then '(intercept)' else 'access_' || access end, null, null
+      from t, base where kj = 0 or o0 = 0 or oj = 0 or k0 = 0),
+    v as (select *, coefficient / se as z from u)
+    select category, predictor, coefficient, exp(coefficient) as odds_ratio, se, z, {_TAIL} as p_value,
+      exp(coefficient - 1.959963984540054e0 * se) as lo, exp(coefficient + 1.959963984540054e0 * se) as hi from v""")
+def _(t):
+    r, fit = access_fit(t)
+    return inf.odds_ratio_table(fit, r)
+
+
+@query("t12_odds_ratio_intervals_basic",
+       "category:s predictor:s coefficient:d odds_ratio:d se:d z:d p_value:d lo:d hi:d")
+def _(t):
+    r = model_input(t)
+    return inf.odds_ratio_table(inf.maximum(m.fit_multinomial(r, BASIC, reg=0.0), r), r)
+
+
+@query("t13_score_access", "uid:l purchase_id:l access:s category:s probability:d", ["access_scores"],
+       "select uid, purchase_id, access, category, probability from access_scores")
+def _(t):
+    return access_scores(t)
+
+
+@query("t14_predicted_access", "category:s observed:l predicted:l", ["cells"], """
+    with top as (select access, n, max(k) as most from cells group by all),
+    p as (select c.product, sum(t.n) as predicted from cells c join top t on t.access = c.access and c.k = t.most group by 1)
+    select c.product as category, sum(k) as observed, coalesce(any_value(predicted), 0) as predicted
+    from cells c left join p using (product) group by 1""")
+def _(t):
+    r, fit = access_fit(t)
+    names = F.array(*map(F.lit, fit.classes))
+    best = F.array_position("probabilities", F.array_max("probabilities")).cast("int") - 1
+    told = inf.probabilities(fit, r).groupBy(F.get(names, best).alias("category")).agg(F.count(F.lit(1)).alias("predicted"))
+    seen = r.groupBy(F.col("product").alias("category")).agg(F.count(F.lit(1)).alias("observed"))
+    return seen.join(told, "category", "left").na.fill(0, ["predicted"])
+
+
+@query("t15_effect_intervals", "access:s category:s probability:d se:d lo:d hi:d", ["cells"], """
+    select access, product as category, p as probability, sqrt(p * (1 - p) / n) as se,
+      case when p in (0, 1) then p else 1 / (1 + exp(-(ln(p / (1 - p)) - 1.959963984540054e0 / sqrt(n * p * (1 - p))))) end as lo,
+      case when p in (0, 1) then p else 1 / (1 + exp(-(ln(p / (1 - p)) + 1.959963984540054e0 / sqrt(n * p * (1 - p))))) end as hi
+    from (select *, k * 1.0 / n as p from cells) c""")
+def _(t):
+    r, fit = access_fit(t)
+    return inf.effect_intervals(fit, r, {"access": list(n.ACCESS.values())})
+
+
+@query("t15_effect_intervals_basic", "access:s last_touch:s category:s probability:d se:d lo:d hi:d")
+def _(t):
+    r = model_input(t)
+    fit = inf.maximum(m.fit_multinomial(r, BASIC, reg=0.0), r)
+    return inf.effect_intervals(fit, r, {"access": list(n.ACCESS.values()), "last_touch": list(CH)}, ["total_days", *n.COUNTS])
+
+
+@query("n17_score_access", "access:s category:s mean_probability:d", ["access_scores"], """
+    select access, category, avg(probability) as mean_probability from access_scores group by 1, 2""")
+def _(t):
+    return access_scores(t).groupBy("access", "category").agg(F.avg("probability").alias("mean_probability"))
+
+
+FULL = {k: f"({k} + case when last_touch = '{c}' then 1 else 0 end)" for c, k in CH.items()}
+
+
+@query("n18_distinct_channels_access", "category:s last_touch:s access:s n_channels:l mean_probability:d", ["access_scores"], f"""
+    with used as (select uid, purchase_id, category, {' + '.join(f"max(case when {x} > 0 then 1 else 0 end)" for x in FULL.values())}
+        as n_channels from access_scores group by 1, 2, 3)
+    select category, last_touch, access, n_channels, avg(probability) as mean_probability
+    from access_scores join used using (uid, purchase_id, category) group by 1, 2, 3, 4""")
+def _(t):
+    return n.score_by_distinct_channels(access_scores(t))
+
+
+@query("n19_segment_access", "channel_segment:s day_bucket:s access:s category:s mean_probability:d",
+       ["access_scores", "segment_rows"], f"""
+    select channel_segment, day_bucket, access, product as category, avg(share) as mean_probability
+    from (select s.channel_segment, s.access, c.product, c.k * 1.0 / c.n as share{BUCKET}
+      from segment_rows s join cells c on c.access = s.access) x group by 1, 2, 3, 4""")
+def _(t):
+    return n.score_by_segment(access_scores(t))
+
+
+@query("n20_visit_count_access", "last_touch:s category:s channel:s visit_count:l mean_probability:d", ["access_scores"], f"""
+    select last_touch, category, channel, visit_count, avg(probability) as mean_probability
+    from (unpivot (select last_touch, category, probability, {', '.join(f'cast({k} as bigint) as {k}' for k in n.COUNTS)} from access_scores)
+      on {', '.join(n.COUNTS)} into name channel value visit_count) x group by 1, 2, 3, 4""")
+def _(t):
+    return n.score_by_visit_count(access_scores(t))
