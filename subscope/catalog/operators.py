@@ -13,7 +13,8 @@ from ..operators import intervals as iv
 from ..operators import joins as j
 from ..operators import ordered as o
 from ..operators import reshape as r
-from ..sources import io
+from ..operators import skew
+from ..sources import io, zipped
 from .registry import query
 
 # --- sources and sinks -----------------------------------------------------------------
@@ -50,6 +51,17 @@ def _(t):
     return io.read_csv(t.spark, path, "part_id bigint, part_name string, price double")
 
 
+@query("s3_zipped_csv", "part_id:l part_name:s price:m", [], """
+    select p_partkey as part_id, case when p_partkey % 7 > 0 then p_name || ', "' || p_brand || '"' end as part_name,
+      p_retailprice as price from part""")
+def _(t):
+    p = t.table("part").select(
+        "p_partkey", F.when(F.col("p_partkey") % 7 > 0, F.format_string('%s, "%s"', "p_name", "p_brand")).alias("name"),
+        "p_retailprice")
+    archives = zipped.write_zipped_csv(p, _scratch(t, "zipped"))
+    return zipped.read_zipped_csv(t.spark, *archives, schema="part_id bigint, part_name string, price double")
+
+
 @query("s5_create_table_as_select", "brand:s terms:l", ["order_lines"],
        "select r_name as brand, count(*) as terms from order_lines group by 1")
 def _(t):
@@ -540,6 +552,15 @@ def _(t):
                                           F.avg("n").alias("mean_lines"))
 
 
+@query("a14_spread_group_stat", "ordernumber:l termnumber:l publicationcode:s top_rate:m n:l", ["terms"], """
+    select ordernumber, termnumber, publicationcode, max(rate) over w as top_rate, count(*) over w as n
+    from terms window w as (partition by publicationcode, donortype)""")
+def _(t):
+    """A group statistic on every row where a few groups hold all rows."""
+    rows = io.stage(t.terms.select("ordernumber", "termnumber", "publicationcode", "donortype", "rate"))
+    return skew.with_spread_group_stat(rows, ["publicationcode", "donortype"], {"top_rate": F.max("rate"), "n": F.count(F.lit(1))})
+
+
 @query("a19_distinct_channels", "visitor_id:l n_channels:l", ["hits"], """
     select visitor_id, count(distinct referrer_type) as n_channels from hits group by 1""")
 def _(t):

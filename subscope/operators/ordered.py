@@ -104,6 +104,55 @@ def neighbour(
     return out.select(*df.columns, *[F.col(f"__near.{dst}").alias(dst) for dst in cols])
 
 
+def sequence(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], bucket: Column, *,
+    number: str | None = None, rank: str | None = None, near: Mapping[str, str] | None = None, step: int = 1,
+    running: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Number, neighbour and running sums of a key's rows together: the rows are shuffled once.
+
+    ``number`` is the row's place, ``rank`` the place of its bucket among the key's buckets (a dense
+    rank, where the bucket is the value ranked by), ``near`` columns of the next (``step=1``) or
+    previous row, ``running`` sums up to the row. One table of slots carries the state of all of them.
+    """
+    assert step in (1, -1)
+    near, running = dict(near or {}), dict(running or {})
+    move, edge_of = (F.lead, F.min_by) if step == 1 else (F.lag, F.max_by)
+    slotted, w = _slotted(df, by, bucket), W.partitionBy(_K).orderBy(*order)
+    upto = w.rowsBetween(W.unboundedPreceding, 0)
+    packed = F.struct(*[F.col(src).alias(dst) for dst, src in near.items()]) if near else None
+    inside, state, carried = {}, [F.count(F.lit(1)).alias("n")], []
+    along = _along_key(by)
+    before = along.rowsBetween(W.unboundedPreceding, -1)
+    if number:
+        inside["__number"] = F.row_number().over(w)
+        carried.append(F.coalesce(F.sum("__v.n").over(before), F.lit(0)).alias("number"))
+    if rank:
+        carried.append(F.row_number().over(along).alias("rank"))
+    if near:
+        inside["__near"] = move(packed).over(w)
+        state.append(edge_of(packed, F.struct(*order)).alias("edge"))
+        carried.append(move("__v.edge").over(along).alias("edge"))
+    for i, value in enumerate(running.values()):
+        inside[f"__sum{i}"] = F.sum(value).over(upto)
+        state.append(F.sum(value).alias(f"sum{i}"))
+        carried.append(F.sum(f"__v.sum{i}").over(before).alias(f"sum{i}"))
+    slots = slotted.groupBy(_K).agg(F.struct(*state).alias("__v"))
+    slots = slots.select(F.col(_K).alias("__to"), F.struct(*carried).alias("__c"))
+    out, told = _join_carried(slotted.withColumns(inside), slots), []
+    if number:
+        told.append((F.col("__number") + F.col("__c.number")).alias(number))
+    if rank:
+        told.append(F.col("__c.rank").alias(rank))
+    if near:
+        both = F.coalesce("__near", "__c.edge")
+        told += [both[dst].alias(dst) for dst in near]
+    for i, name in enumerate(running):
+        here, earlier = F.col(f"__sum{i}"), F.col(f"__c.sum{i}")
+        told.append(F.coalesce(here + earlier, here, earlier).alias(name))
+    return out.select(*[F.col(c) for c in df.columns], *told)
+
+
 def carry_forward(
     df: DataFrame, by: Sequence[str], order: Sequence[str], bucket: Column, value: str, name: str
 ) -> DataFrame:

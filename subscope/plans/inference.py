@@ -9,11 +9,13 @@ FAN matrices of the model's own size, whatever the number of rows.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,9 @@ from ..operators.statistics import Z95
 from ..sources.io import stage
 from .models import feature_names, labels_of, predictors, scorable
 
+# Python workers get this module's code with the task, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Tasks of the second stage of a sum; Newton steps at most.
 FAN, STEPS = 16, 25
 #: A direction counts as unknown where its information is below this share of the largest, or worth fewer rows than this.

@@ -349,3 +349,16 @@ def test_split_is_exact_per_class_and_repeatable(spark):
     assert one.exceptAll(again).count() == 0
     s = sample_users(df, "id", 0.3, 1)
     assert 230 < s.count() < 370 and s.exceptAll(sample_users(df, "id", 0.5, 1)).count() == 0
+
+
+def test_sequence_equals_its_parts(skewed):
+    data, df = skewed
+    by, order, day = ["k"], ["d", "id"], F.col("d")
+    whole = o.sequence(df, by, order, day, number="n", rank="r", near={"next_d": "d", "next_v": "v"}, running={"total": "v"})
+    want = duck(data, """select id, row_number() over w, dense_rank() over (partition by k order by d),
+        lead(d) over w, lead(v) over w, sum(v) over w from t window w as (partition by k order by d, id)""")
+    assert whole.columns == [*df.columns, "n", "r", "next_d", "next_v", "total"]
+    assert rows(whole, "id", "n", "r", "next_d", "next_v", "total") == want
+    back = o.sequence(df, by, order, day, near={"prev": "id"}, step=-1)
+    want = duck(data, "select id, lag(id) over (partition by k order by d, id) from t")
+    assert rows(back, "id", "prev") == want
