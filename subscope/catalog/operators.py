@@ -78,6 +78,17 @@ def _(t):
     return narrow.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
 
 
+@query("s6_stage_as", "o_orderkey:l total:s day:t priority:l", [], """
+    select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as varchar) as total, cast(o_orderdate as date) as day,
+      try_cast(substr(o_orderpriority, 1, 1) as bigint) as priority from orders""")
+def _(t):
+    """Numbers come back as text, text as numbers and dates."""
+    rows = t.table("orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
+        F.col("o_orderdate").cast("date").cast("string").alias("d"), F.substring("o_orderpriority", 1, 1).alias("p"))
+    return io.stage_as(rows, "o_orderkey bigint, total string, day date, priority bigint")
+
+
 @query("s7_read_snapshot", "event_id:l user_id:l snapshot_date:t", [], """
     select event_id, user_id, cast(ts as date) as snapshot_date from events
     where cast(ts as date) = date '2024-01-16'""")
@@ -285,9 +296,8 @@ def _(t):
 
 
 @query("j4_next_term", "subscriptionreference:l termnumber:l next_rate:m", ["terms"], """
-    select a.subscriptionreference, a.termnumber, b.rate as next_rate from terms a
-    left join terms b on b.subscriptionreference = a.subscriptionreference
-      and b.termnumber = a.termnumber + 1""")
+    select subscriptionreference, termnumber,
+      lead(rate) over (partition by subscriptionreference order by termnumber) as next_rate from terms""")
 def _(t):
     return j.next_term(t.terms, "subscriptionreference", "termnumber", {"next_rate": "rate"})
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import history as h
 from ..plans import quality as v
-from .history import RULES, base, captured, marked, new_terms, stitched
+from .history import base, brand_history, captured, new_terms, stitched
 from .registry import fragment, query
 
 PAID = "donortype = 'I' and subscriptionclass = 'R' and termtype in ('P', 'C')"
@@ -36,20 +36,17 @@ def _(t):
 
 
 @query("v2_missing_old_contracts", "shiptocustomernumber:l ordernumber:l subscriptionreference:l",
-       ["terms", "linked"], """
+       ["terms", "history_cd"], """
     select shiptocustomernumber, ordernumber, subscriptionreference from terms t
     where expirationissuedate >= date '1999-01-01'
-      and subscriptionreference not in (select subscriptionreference from linked
-        where subscriptionreference is not null)
-      and not exists (select 1 from linked l
-        where l.shiptocustomernumber = t.shiptocustomernumber and l.ordernumber = t.ordernumber)
+      and not exists (select 1 from history_cd l where l.old_subid = t.subscriptionreference)
+      and not exists (select 1 from history_cd l
+        where l.original_cust_value = t.shiptocustomernumber and l.ordernumber = cast(t.ordernumber as varchar))
     """)
 def _(t):
-    captured = h.linked_rollup(marked(t), RULES).select(
-        F.col("shiptocustomernumber").alias("original_cust_value"), "ordernumber",
-        F.col("subscriptionreference").alias("old_subid"),
-    )
-    return v.missing_old_contracts(t.terms, captured, "1999-01-01")
+    """Against the history of the brand that requires a header, by the old id or by customer and order."""
+    terms = t.terms.withColumn("ordernumber", F.col("ordernumber").cast("string"))
+    return v.missing_old_contracts(terms, h.stage(brand_history(t, "CD")), "1999-01-01")
 
 
 @query("v3_missing_new_subscriptions",

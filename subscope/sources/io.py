@@ -59,11 +59,17 @@ def read_snapshot(spark: SparkSession, root: str, date: str) -> DataFrame:
 def stage_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as the cluster names it.
 
-    ``spark.checkpoint.dir``, or a folder of the warehouse where that is unset:
-    both are shared by all executors, whatever the master.
+    ``spark.checkpoint.dir``, or a folder of the warehouse that was set. Where neither is, a single
+    local process takes its own default warehouse; on a cluster that folder is the driver's, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    if root:
+        return root
+    context = spark.sparkContext
+    alone = context.master == "local" or context.master.startswith("local[")
+    if not alone and not context.getConf().contains("spark.sql.warehouse.dir"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
 def staged_folder(spark: SparkSession) -> str:
@@ -88,3 +94,16 @@ def stage(df: DataFrame, **options) -> DataFrame:
     path = f"{staged_folder(spark)}/{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_as(df: DataFrame, schema: StructType | str) -> DataFrame:
+    """Write an intermediate as text and read it back under other types.
+
+    ``schema`` names the columns in order; a cell that does not fit its new type is null. An empty
+    text is kept apart from null.
+    """
+    spark = df.sparkSession
+    path = f"{staged_folder(spark)}/{uuid.uuid4().hex}"
+    text = df.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in df.columns))
+    text.write.option("escape", '"').option("emptyValue", '""').option("nullValue", "").option("quoteAll", "false").csv(path)
+    return read_csv(spark, path, schema, header=False, multiLine=True, emptyValue="")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.ordered import sequence_number
 
 MONEY = "decimal(12,2)"
+REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 # (l_orderkey, l_linenumber) repeats; this order is total.
 LINE_ORDER = [*LINE_KEY, "l_shipdate", "l_extendedprice", "l_quantity"]
@@ -171,7 +172,9 @@ class Inputs:
              * F.round(100 - F.col("l_discount") * 100).cast("bigint"))
             .alias("amountpaid_e4"),
             ship.alias("paidat"),
-            F.col("l_shipdate").alias("createdat"),
+            F.date_add(ship, F.col("l_linenumber").cast("int")).alias("createdat"),
+            F.when(F.col("l_quantity") >= 10, F.get(F.array(*map(F.lit, REGIONS)), (F.col("o_custkey") % 5).cast("int")))
+            .alias("businessunitcode"),
             F.when(F.col("l_linestatus") == "O", "charge_automatically")
             .when(F.col("l_quantity") < 25, "send_invoice").alias("billingtype"),
             (F.col("l_partkey") % 4).alias("planid"),
@@ -197,7 +200,9 @@ class Inputs:
             "event_id",
             uid.alias("visitor_id"),
             ts.cast("date").alias("hit_date"),
-            F.datediff(ts.cast("date"), F.lit("2023-12-31").cast("date")).alias("visit_number"),
+            # Some visitors come once and stay: one visit number for all days.
+            F.when(uid % 13 == 5, 1).otherwise(F.datediff(ts.cast("date"), F.lit("2023-12-31").cast("date")))
+            .alias("visit_number"),
             (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts) + 1).alias("clicks_to_page"),
             F.concat_ws(":", typ, k).alias("page_name"),
             F.when(typ.isin("view", "click"), "article").when(typ != "error", "account")
@@ -398,7 +403,10 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
             as planproductname,
           cast(round(l_extendedprice * 100) as bigint)
             * cast(round(100 - l_discount * 100) as bigint) as amountpaid_e4,
-          cast(l_shipdate as date) as paidat, l_shipdate as createdat,
+          cast(l_shipdate as date) as paidat,
+          cast(cast(l_shipdate as date) + cast(l_linenumber as int) as date) as createdat,
+          case when l_quantity >= 10 then ['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'][o_custkey % 5 + 1] end
+            as businessunitcode,
           case when l_linestatus = 'O' then 'charge_automatically'
             when l_quantity < 25 then 'send_invoice' end as billingtype,
           l_partkey % 4 as planid
@@ -411,7 +419,7 @@ VIEW_SQL: dict[str, tuple[tuple[str, ...], str]] = {
         from region where r_regionkey < 4"""),
     "hits": ((), """
         select event_id, user_id as visitor_id, cast(ts as date) as hit_date,
-          cast(ts as date) - date '2023-12-31' as visit_number,
+          case when user_id % 13 = 5 then 1 else cast(ts as date) - date '2023-12-31' end as visit_number,
           hour(ts) * 3600 + minute(ts) * 60 + second(ts) + 1 as clicks_to_page,
           event_type || ':' || regexp_extract(props, '[0-9]+') as page_name,
           case when event_type in ('view', 'click') then 'article'
