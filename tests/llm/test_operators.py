@@ -428,7 +428,7 @@ def test_audit_sees_small_groups(spark, monkeypatch):
     x = rng.normal(size=(900, 16))
     x[1] = x[0] + 0.01
     x[3] = x[2] + 0.01
-    items = [(k, "a", v.astype("<f8").tobytes(), 5000 if k < 2 else 1) for k, v in enumerate(x)]
+    items = [(k, "a", b"\x08" + v.astype("<f8").tobytes(), 5000 if k < 2 else 1) for k, v in enumerate(x)]
     nodes = spark.createDataFrame(items, "node long, grp string, vec binary, weight long")
     true, sampled, evident = neighbour_graph.sampled_truth(nodes, 0.98)
     assert true == {0: 1, 1: 1, 2: 1, 3: 1} and sampled == 900 and evident
@@ -437,16 +437,36 @@ def test_audit_sees_small_groups(spark, monkeypatch):
     assert neighbour_graph.audit(true, links) == 0.5
 
 
-def test_missed_recall_is_an_error_and_orders_follow_the_size(spark, monkeypatch):
+def test_labels_below_recall_are_compared_whole_and_orders_follow_the_size(spark, monkeypatch):
     assert [neighbour_graph._orders(n, 0.98) for n in (1, 100, 10**7)][:2] == [4, 4]
     assert neighbour_graph._orders(10**5, 0.98) > 4 and neighbour_graph._orders(10**7, 0.98) > 8
+    x = np.random.default_rng(1).normal(size=(60, 8))
+    x[1], x[40] = x[0] + 0.001, x[39] + 0.001
+    df = spark.createDataFrame([(k, v.tolist(), k // 30) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
     monkeypatch.setattr(neighbour_graph, "ROUNDS", 1)
     monkeypatch.setattr(neighbour_graph, "audit", lambda *args: 0.5)
-    x = np.random.default_rng(1).normal(size=(20, 8))
-    x[1] = x[0] + 0.001
-    df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
-    with pytest.raises(RuntimeError, match="0.5000"):
-        neighbour_graph.near_duplicates(df)
+    # No order and no list finds anything: only whole labels do.
+    monkeypatch.setattr(neighbour_graph, "_ordered_neighbours", lambda nodes, turn, threshold: nodes.selectExpr("node", "node AS other", "0D AS s").limit(0))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in neighbour_graph.near_duplicates(df).collect()}
+    assert got[0] == got[1] == (1, 0) and got[39] == got[40] == (1, 39) and sum(n for n, _ in got.values()) == 4
+
+
+def test_rare_links_are_found_by_planted_evidence(spark, monkeypatch):
+    turns = []
+    orders = neighbour_graph._ordered_neighbours
+    monkeypatch.setattr(neighbour_graph, "_ordered_neighbours", lambda n, t, h: turns.append(t) or orders(n, t, h))
+    monkeypatch.setattr(neighbour_graph, "AUDIT_MOST", 800)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for k in range(0, 20, 2):  # pairs just above the threshold
+        away = rng.normal(size=64)
+        away -= (away @ x[k]) * x[k]
+        x[k + 1] = 0.981 * x[k] + np.sqrt(1 - 0.981 ** 2) * away / np.linalg.norm(away)
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = {r["vec_id"]: r["component_id"] for r in neighbour_graph.near_duplicates(df).where("n_links > 0").collect()}
+    assert got == {k: k - k % 2 for k in range(20)}
+    assert len(turns) <= 3
 
 
 def test_near_vectors_empty(spark):
