@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shipped
+from .common import shipped, stage
 
 #: Labelled documents that a fit may take.
 SAMPLE = 4000
@@ -191,8 +191,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "quality", sample: int = SAMPLE) -> Chain:
     """Fit on at most ``sample`` labelled documents, those with the least hash of their id.
 
-    Features are computed by the executors; the driver gets those of the sample,
-    at most SAMPLE_LINES lines.
+    Features are computed by the executors and written; the driver gets the line counts of the
+    sample, then the features of at most SAMPLE_LINES lines. A document with more lines than are
+    left is passed over in the fit (not in scoring).
     """
     known = labels.where(~held_out(F.col(id_col)) & F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("known_id"), F.col(label_col).cast("int").alias("y"))
@@ -205,14 +206,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return texts.map(lambda t: line_features(t or "")[0].astype("<f4").tobytes())
 
     picked = rows.select("id", "y", features("text").alias("x")).orderBy(
-        F.xxhash64("id"), "id", "y", F.xxhash64("x")).limit(sample).collect()
-    out, left = [], SAMPLE_LINES
-    for r in picked:
-        x = np.frombuffer(r["x"], dtype="<f4").reshape(-1, WIDTH).astype(float)
-        if len(x) <= left:
-            out.append((x, r["y"]))
-            left -= len(x)
-    return fit(out)
+        F.xxhash64("id"), "id", "y", F.xxhash64("x")).limit(sample)
+    picked = stage(picked.select(F.monotonically_increasing_id().alias("at"), "y", "x"))
+    # Lines are counted before any feature is sent: a document that no longer fits is passed over.
+    chosen, left = [], SAMPLE_LINES
+    for r in picked.select("at", (F.octet_length("x") / (4 * WIDTH)).cast("long").alias("n")).orderBy("at").collect():
+        if r["n"] <= left:
+            chosen.append(r["at"])
+            left -= r["n"]
+    held = picked.where(F.col("at").isin(chosen)).orderBy("at").collect() if chosen else []
+    return fit([(np.frombuffer(r["x"], dtype="<f4").reshape(-1, WIDTH).astype(float), r["y"]) for r in held])
 
 
 def scorer(chain: Chain):
