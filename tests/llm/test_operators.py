@@ -571,6 +571,43 @@ def test_repeats_of_a_host_go_where_no_article_is_marked(spark):
     assert main_text.extract(pages).count() == len(items) and main_text.extract(pages.limit(0)).count() == 0
 
 
+def test_doubtful_blocks_of_an_article_are_decided_by_the_host(spark):
+    notice = "subscribe now and read every story of this site without limits"
+    menu = "home news sport culture weather about us contact"
+    rng = np.random.default_rng(9)
+
+    def own(n):
+        return " ".join(f"w{x}" for x in rng.integers(0, 5000, n))
+    items, want = [], {}
+    for k in range(20):
+        head, lead, tail, unique = own(4), own(60), own(40), own(12)
+        items.append((k, f"http://h.org/{k}", f"<ul class=menu><li>{menu}</ul><article><h1>{head}</h1><div class='entry'><p>{lead}</p>"
+                      f"<div class='box-7'>{notice}</div><p>{tail}</p><div class='social-history'><p>{unique}</p></div>"
+                      f"<p class='banner-year'>{head}</p></div></article>"))
+        want[k] = f"{head} {lead} {tail} {unique} {head}"
+    # Copies and repeats of an article's own paragraphs are no boilerplate.
+    same_lead, box = own(60), own(15)
+    copy = f"<article><p>{same_lead}</p><div class='figure-2'>{box}</div></article>"
+    items += [(30, "http://h.org/30", copy), (31, "http://h.org/31", copy + "<div class=footer>x</div>"),
+              (32, "http://h.org/32", f"<article><p>{same_lead}</p><p>{own(70)}</p></article>"),
+              (33, "http://other.org/", f"<article><p>{own(60)}</p><div class='box-7'>{notice}</div></article>")]
+    pages = spark.createDataFrame(items, "page_id long, url string, html string")
+    got = {r[0]: r for r in rows(main_text.extract(pages))}
+    for k in range(20):
+        assert got[k][2] == want[k] and got[k][4] and got[k][5] >= len((notice + " " + menu).split())
+    assert got[30][2] == got[31][2] == f"{same_lead} {box}"
+    assert got[32][2].startswith(same_lead) and got[33][2].endswith(notice)
+
+
+def test_certain_and_doubtful_names():
+    told = {name: main_text._unwanted("div", f" class='{name}'", True) for name in
+            ("share", "share-buttons", "newsletter-box", "social-history", "banner-year", "box-7", "")}
+    assert {k for k, (why, _) in told.items() if why} == {"share", "share-buttons", "newsletter-box"}
+    assert {k for k, (_, doubt) in told.items() if doubt} == {"social-history", "banner-year", "box-7"}
+    assert main_text._unwanted("p", " class='lead'", True) == ("", False)
+    assert main_text._unwanted("div", " class='social-history'", False)[0] == "social"
+
+
 def test_no_page_text_is_broadcast(spark, monkeypatch):
     joined = []
 
