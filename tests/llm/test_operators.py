@@ -95,6 +95,64 @@ def test_mix(spark, docs):
         "doc_id", "source", "size", "source_size", "target", "copies", "taken")))
 
 
+def plain_sample(sized, room, seed="mix:"):
+    """Rows (id, size) taken to fill ``room`` words, by the definition: probabilities, ranks, first fit."""
+    sure, p = set(), {}
+    while True:
+        others = [k for k, (_, n) in enumerate(sized) if n and k not in sure]
+        left, mass = room - sum(sized[k][1] for k in sure), sum(sized[k][1] ** 2 for k in others)
+        more = {k for k in others if sized[k][1] * left >= mass}
+        if not more:
+            break
+        sure |= more
+    ranked = []
+    for k, (doc, n) in enumerate(sized):
+        if n:
+            digest = hashlib.md5(f"{seed}{'' if doc is None else doc}".encode()).hexdigest()[:13]
+            u = (int(digest, 16) + 0.5) / 2.0 ** 52
+            p[k] = 1.0 if k in sure else n * left / mass
+            if p[k] > 0:
+                ranked.append((u / (1 - u) * ((1 - p[k]) / p[k]), -1 if doc is None else doc, n, k))
+    taken = set()
+    for *_, n, k in sorted(ranked):
+        if n <= room:
+            taken.add(k)
+            room -= n
+    return taken, p, room
+
+
+def test_mix_equals_first_fit_in_rank_order(spark):
+    rng = np.random.default_rng(12)
+    sized = [(k, str(rng.integers(0, 5)), int(rng.choice([0, 1, 2, 7, 40, 300, 5000], p=[.05, .05, .1, .2, .4, .19, .01])))
+             for k in range(1500)]
+    sized += [(None, None, 3), (None, None, 9), (7, "0", 7), (7, "0", 7)]
+    df = spark.createDataFrame(sized, "doc_id long, source string, size long")
+    got = {}
+    for r in mixing.mix(df).collect():
+        got.setdefault(r["source"], []).append(r)
+    for source, found in got.items():
+        total, target = found[0]["source_size"], found[0]["target"]
+        whole = math.floor(target / total)
+        mine = [(d, n) for d, s, n in sized if s == source]
+        taken, p, room = plain_sample(mine, math.floor(target - whole * total))
+        same([(r["doc_id"], r["size"], r["copies"]) for r in found],
+             [(d, n, whole + (k in taken) if n else 0) for k, (d, n) in enumerate(mine)])
+        assert math.isclose(sum(r["expected"] for r in found), sum(whole + p[k] for k in p), rel_tol=1e-9)
+        assert all(n > room for k, (_, n) in enumerate(mine) if n and k not in taken)
+
+
+def test_documents_are_taken_at_their_inclusion_probability(spark):
+    size = F.element_at(F.array(F.lit(10), F.lit(100), F.lit(30000)), F.when(F.col("id") == 0, 3).otherwise(F.col("id") % 2 + 1).cast("int"))
+    docs = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), size.cast("long").alias("size"))
+    other = spark.range(20000).select((F.col("id") + 20000).alias("doc_id"), F.lit("t").alias("source"), F.lit(50).cast("long").alias("size"))
+    got = rows(mixing.mix(docs.union(other)).where("source = 's'").groupBy("size").agg(
+        F.avg("copies"), F.avg("expected"), F.count(F.lit(1))))
+    assert len(got) == 3
+    for n, copies, expected, _ in got:
+        assert abs(copies - expected) < 0.02
+    assert dict((n, c) for n, c, *_ in got)[30000] == 1
+
+
 def test_mix_targets_share_the_excess(spark):
     sources = spark.createDataFrame([("a", 1000), ("b", 10), ("c", 5), (None, 100), ("z", 0)], "source string, source_size long")
     got = {r[0]: r[3] for r in rows(mixing.targets(sources).select("source", "source_size", "weight", "target"))}
