@@ -228,6 +228,55 @@ def test_outliers_go_and_others_stay(spark):
     assert abs(center[1] - 3) < 0.1  # the plain mean is 0.9 off
 
 
+def plain_mcd(x, pool=None):
+    """Center, covariance, precision and scale of one group by the definition."""
+    at = lambda v, q: np.sort(v, axis=0)[max(math.ceil(q * len(v)) - 1, 0)]
+    ridge = np.diag(np.square(quality_rules.FLOORS))
+    center = at(x, 0.5)
+    precision = np.linalg.inv(np.diag((1.4826 * at(np.abs(x - center), 0.5)) ** 2) + ridge)
+    best = math.inf
+    while True:
+        d = np.einsum("ni,ij,nj->n", x - center, precision, x - center)
+        near = x[d <= at(d, quality_rules.KEEP)]
+        own = len(near) / (len(near) + quality_rules.PRIOR) if pool else 1.0
+        mean, spread = near.mean(axis=0), np.cov(near.T, bias=True) + ridge
+        if pool:
+            mean, spread = own * mean + (1 - own) * pool[0], own * spread + (1 - own) * pool[1]
+        logdet = np.linalg.slogdet(spread)[1]
+        fall = best - logdet
+        if fall > 0:
+            center, cov, precision, best = mean, spread, np.linalg.inv(spread), logdet
+        if not fall > quality_rules.SETTLED:
+            break
+    d = np.einsum("ni,ij,nj->n", x - center, precision, x - center)
+    scale = max(at(d, 0.5) / quality_rules.chi2_quantile(0.5, x.shape[1]), 1.0)
+    if pool:
+        share = len(x) / (len(x) + quality_rules.PRIOR)
+        scale = share * scale + (1 - share) * pool[3]
+    return center, cov, precision, scale
+
+
+def test_estimates_equal_the_definition_and_small_groups_are_judged(spark):
+    rng = np.random.default_rng(8)
+    groups = {"a": 400, "b": 30, "c": 2, "d": 1}
+    x = {g: rng.normal(size=(n, 6)) * [0.2, 0.4, 0.4, 0.4, 0.9, 0.9] + 3 + 0.3 * k for k, (g, n) in enumerate(groups.items())}
+    x["b"][0] += 25
+    items = [("all", g, *map(float, r)) for g, m in x.items() for r in m]
+    df = spark.createDataFrame(items, ["parent", "grp", *(f"x{i}" for i in range(6))])
+    whole = quality_rules.mcd(df.withColumn("grp", F.col("parent")))
+    fit = {r["grp"]: r for r in quality_rules.mcd(df, whole).collect()}
+    pool = plain_mcd(np.concatenate(list(x.values())))
+    assert set(fit) == set(groups)
+    cut = quality_rules.chi2_quantile(1 - quality_rules.BEYOND, 6)
+    for g, m in x.items():
+        center, cov, _, scale = plain_mcd(m, pool)
+        assert np.allclose(fit[g]["center"], center) and np.allclose(fit[g]["cov"], cov.ravel())
+        assert math.isclose(fit[g]["scale"], scale, rel_tol=1e-6)
+        gap = m - np.asarray(fit[g]["center"])
+        far = np.einsum("ni,ij,nj->n", gap, np.asarray(fit[g]["precision"]).reshape(6, 6), gap) / fit[g]["scale"] > cut
+        assert far.tolist() == [g == "b" and k == 0 for k in range(len(m))]
+
+
 def test_judge_odd_rows(spark, docs, empty):
     got = rows(quality_rules.judge(docs).select("doc_id", "stats.n_words", "base_failed", "kept"))
     assert len(got) == docs.count()
