@@ -27,6 +27,9 @@ from .common import few_rows, frame, shipped, sized_join, stage, words_of
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, " \
         "n_upper long, n_marks long, n_distinct long"
+#: What is known of a group between steps.
+_STATE = "grp string, rows long, center array<double>, cov array<double>, precision array<double>, logdet double, " \
+         "falls boolean, pool_center array<double>, pool_cov array<double>, pool_scale double"
 KEEP = 0.75
 #: Rows that a group's pool counts for: ten for each coordinate.
 PRIOR = 60
@@ -112,52 +115,62 @@ def chi2_quantile(p: float, k: int) -> float:
     return k * (1 - 2 / (9 * k) + NormalDist().inv_cdf(p) * (2 / (9 * k)) ** 0.5) ** 3
 
 
-def _solved(moments: DataFrame, floors: tuple[float, ...], prior: float) -> DataFrame:
-    """grp, center, cov, precision, logdet from grp, n, s (sums), ss (sums of products, upper triangle).
+def _stepped(state: DataFrame, floors: tuple[float, ...], prior: float) -> DataFrame:
+    """The groups' state after a concentration step.
 
-    ``pool_center`` and ``pool_cov`` are what an estimate is shrunk towards; null: nothing.
+    ``state`` has the columns of _STATE and, of the rows nearest to a group's estimate, n, s (sums) and
+    ss (sums of products, upper triangle); null for groups that had settled. ``pool_center`` and
+    ``pool_cov`` are what an estimate is shrunk towards; null: nothing.
     """
     p = len(floors)
     upper = np.triu_indices(p)
     ridge = np.diag(np.square(floors))
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [x.split()[0] for x in _STATE.split(", ")]
+
+    def estimate(n: float, s: np.ndarray, ss: np.ndarray, pool, spread) -> tuple[np.ndarray, np.ndarray]:
+        center = np.asarray(s) / n
+        second = np.zeros((p, p))
+        second[upper] = np.asarray(ss) / n
+        second = second + np.triu(second, 1).T
+        cov = second - np.outer(center, center)
+        low, axes = np.linalg.eigh((cov + cov.T) / 2)
+        cov = (axes * np.maximum(low, 0)) @ axes.T + ridge
+        if pool is not None:
+            own = n / (n + prior)
+            center = own * center + (1 - own) * np.asarray(pool)
+            cov = own * cov + (1 - own) * np.asarray(spread).reshape(p, p)
+        return center, cov
+
+    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for grp, n, s, ss, pool, spread in zip(*(batch[c] for c in ("grp", "n", "s", "ss", "pool_center", "pool_cov"))):
-                center = np.asarray(s) / n
-                second = np.zeros((p, p))
-                second[upper] = np.asarray(ss) / n
-                second = second + np.triu(second, 1).T
-                cov = second - np.outer(center, center)
-                low, axes = np.linalg.eigh((cov + cov.T) / 2)
-                cov = (axes * np.maximum(low, 0)) @ axes.T + ridge
-                if pool is not None:
-                    own = n / (n + prior)
-                    center = own * center + (1 - own) * np.asarray(pool)
-                    cov = own * cov + (1 - own) * np.asarray(spread).reshape(p, p)
-                out.append((grp, center.tolist(), cov.ravel().tolist(), np.linalg.inv(cov).ravel().tolist(),
-                            float(np.linalg.slogdet(cov)[1])))
-            yield frame(out, ["grp", "center", "cov", "precision", "logdet"])
-
-    return moments.mapInPandas(
-        solve, "grp string, center array<double>, cov array<double>, precision array<double>, logdet double")
+            for row in batch.to_dict("records"):
+                row["falls"] = False
+                if row["s"] is not None:
+                    center, cov = estimate(row["n"], row["s"], row["ss"], row["pool_center"], row["pool_cov"])
+                    logdet = float(np.linalg.slogdet(cov)[1])
+                    row["falls"] = bool(row["logdet"] - logdet > SETTLED)
+                    if logdet < row["logdet"]:
+                        row.update(center=center.tolist(), cov=cov.ravel().tolist(), logdet=logdet,
+                                   precision=np.linalg.inv(cov).ravel().tolist())
+                out.append(tuple(row[c] for c in names))
+            yield frame(out, names)
+
+    return state.mapInPandas(step, _STATE)
 
 
 def _distance(p: int) -> Column:
-    gap = [F.col(f"x{i}") - F.col("center")[i] for i in range(p)]
-    total = F.lit(0.0)
-    for i in range(p):
-        row = sum((F.col("precision")[i * p + j] * gap[j] for j in range(p)), F.lit(0.0))
-        total = total + gap[i] * row
-    return total
+    """Squared distance of x0.. from center; one parsed text, as hundreds of column calls cost seconds a step."""
+    gap = [f"(x{i} - center[{i}])" for i in range(p)]
+    row = [" + ".join(f"precision[{i * p + j}] * {gap[j]}" for j in range(p)) for i in range(p)]
+    return F.expr(" + ".join(f"{g} * ({r})" for g, r in zip(gap, row)))
 
 
 def _moments(rows: DataFrame, p: int) -> DataFrame:
     return rows.groupBy("grp").agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.array(*(F.sum(f"x{i}") for i in range(p))).alias("s"),
-        F.array(*(F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i in range(p) for j in range(i, p))).alias("ss"))
+        F.expr("cast(count(1) as double) as n"),
+        F.expr(f"array({', '.join(f'sum(x{i})' for i in range(p))}) as s"),
+        F.expr(f"array({', '.join(f'sum(x{i} * x{j})' for i in range(p) for j in range(i, p))}) as ss"))
 
 
 def mcd(rows: DataFrame, pool: DataFrame | None = None, floors: tuple[float, ...] = FLOORS, keep: float = KEEP,
@@ -170,44 +183,38 @@ def mcd(rows: DataFrame, pool: DataFrame | None = None, floors: tuple[float, ...
     """
     p = len(floors)
     xs = [f"x{i}" for i in range(p)]
+    parent = F.lit(None).cast("string") if pool is None else F.col("parent")
+    rows = rows.select("grp", parent.alias("parent"), *xs)
+    middle = stage(rows.groupBy("grp").agg(
+        F.first("parent").alias("parent"), F.count(F.lit(1)).alias("rows"),
+        F.expr(f"array({', '.join(f'percentile_approx({x}, 0.5, 1000)' for x in xs)}) as m")))
+    narrow = few_rows(middle)
+    apart = rows.join(narrow(middle.select("grp", "m")), "grp").groupBy("grp").agg(F.expr(
+        f"array({', '.join(f'percentile_approx(abs({x} - m[{i}]), 0.5, 1000)' for i, x in enumerate(xs))}) as d"))
+    start = middle.join(narrow(apart), "grp")
     if pool is None:
-        rows = rows.withColumn("parent", F.lit(None).cast("string"))
-    rows = rows.select("grp", "parent", *xs)
-    groups = stage(rows.groupBy("grp").agg(F.first("parent").alias("parent"), F.count(F.lit(1)).alias("rows")))
-    narrow = few_rows(groups)
-    if pool is None:
-        towards = groups.select("grp", "rows", *(F.lit(None).cast("array<double>").alias(c) for c in ("pool_center", "pool_cov")),
-                                F.lit(None).cast("double").alias("pool_scale"))
+        start = start.selectExpr("*", "cast(null as array<double>) as pool_center",
+                                 "cast(null as array<double>) as pool_cov", "cast(null as double) as pool_scale")
     else:
-        towards = groups.join(narrow(pool.select(
-            F.col("grp").alias("parent"), F.col("center").alias("pool_center"), F.col("cov").alias("pool_cov"),
-            F.col("scale").alias("pool_scale"))), "parent").drop("parent")
-    towards = stage(towards)
-    middle = rows.groupBy("grp").agg(*(F.percentile_approx(x, 0.5, 1000).alias(f"m_{x}") for x in xs))
-    wide = rows.join(narrow(middle), "grp").groupBy("grp").agg(
-        *(F.first(f"m_{x}").alias(f"m_{x}") for x in xs),
-        *(F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{x}")), 0.5, 1000).alias(f"d_{x}") for x in xs))
-    var = [F.pow(F.col(f"d_{x}") * 1.4826, 2) + f * f for x, f in zip(xs, floors)]
-    now = stage(wide.select(
-        "grp", F.array(*(F.col(f"m_{x}") for x in xs)).alias("center"), F.lit(None).cast("array<double>").alias("cov"),
-        F.array(*(1 / var[i] if i == j else F.lit(0.0) for i in range(p) for j in range(p))).alias("precision"),
-        F.lit(float("inf")).alias("logdet"), F.lit(True).alias("falls")))
-    estimate = ("center", "cov", "precision", "logdet")
+        start = start.join(narrow(pool.selectExpr("grp as parent", "center as pool_center", "cov as pool_cov",
+                                                  "scale as pool_scale")), "parent")
+    inverse = [f"1 / (pow(d[{i}] * 1.4826D, 2) + {f * f!r}D)" for i, f in enumerate(floors)]
+    now = stage(start.selectExpr(
+        "grp", "rows", "m as center", "cast(null as array<double>) as cov",
+        f"array({', '.join(inverse[i] if i == j else '0D' for i in range(p) for j in range(p))}) as precision",
+        "double('Infinity') as logdet", "true as falls", "pool_center", "pool_cov", "pool_scale"))
+    distance = _distance(p)
     while now.where("falls").limit(1).count():
         # Groups that have settled are read no more.
-        far = rows.join(narrow(now.where("falls").select("grp", "center", "precision")), "grp").withColumn("d2", _distance(p))
+        far = rows.join(narrow(now.where("falls").select("grp", "center", "precision")), "grp").withColumn("d2", distance)
         cut = far.groupBy("grp").agg(F.percentile_approx("d2", keep, 1000).alias("cut"))
-        moments = _moments(far.join(narrow(cut), "grp").where("d2 <= cut"), p).join(narrow(towards), "grp")
-        new = _solved(moments, floors, prior).select("grp", F.struct(*estimate).alias("new"))
-        lower = F.coalesce(F.col("new.logdet") < F.col("logdet"), F.lit(False))
-        now = stage(now.join(new, "grp", "left").select(
-            "grp", *(F.when(lower, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in estimate),
-            F.coalesce(F.col("logdet") - F.col("new.logdet") > SETTLED, F.lit(False)).alias("falls")))
-    far = rows.join(narrow(now.select("grp", "center", "precision")), "grp").withColumn("d2", _distance(p))
+        moments = _moments(far.join(narrow(cut), "grp").where("d2 <= cut"), p)
+        now = stage(_stepped(now.join(narrow(moments), "grp", "left"), floors, prior))
+    far = rows.join(narrow(now.select("grp", "center", "precision")), "grp").withColumn("d2", distance)
     half = far.groupBy("grp").agg(F.percentile_approx("d2", 0.5, 1000).alias("half"))
     own = F.greatest(F.col("half") / chi2_quantile(0.5, p), F.lit(1.0))
     share = F.col("rows") / (F.col("rows") + F.lit(prior))
-    return now.join(half, "grp").join(towards.select("grp", "rows", "pool_scale"), "grp").select(
+    return now.join(narrow(half), "grp").select(
         "grp", "center", "cov", "precision",
         F.when(F.col("pool_scale").isNull(), own).otherwise(share * own + (1 - share) * F.col("pool_scale")).alias("scale"))
 
