@@ -351,6 +351,22 @@ def test_split_is_exact_per_class_and_repeatable(spark):
     assert 230 < s.count() < 370 and s.exceptAll(sample_users(df, "id", 0.5, 1)).count() == 0
 
 
+def test_split_never_gathers_a_class(spark):
+    data = [(c, i % 300) for c in ("a", "b", None) for i in range(500)] + [("one", 1)]
+    df = spark.createDataFrame(data, "c string, id int").repartition(5)
+    out = stratified_split(df, "c", "id", 0.8, 3)
+    n = {(v["c"], v["part"]): v["count"] for v in out.groupBy("c", "part").count().collect()}
+    assert n == {(c, p): k for c in ("a", "b", None) for p, k in (("train", 400), ("test", 100))} | {("one", "test"): 1}
+    # train are the rows of the least hashes, copies of a key included
+    worst = out.withColumn("h", F.md5(F.concat_ws(":", F.lit("3"), F.col("id").cast("string")))).groupBy("c").agg(
+        F.max(F.when(F.col("part") == "train", F.col("h"))).alias("a"), F.min(F.when(F.col("part") == "test", F.col("h"))).alias("b"))
+    assert worst.where("a > b").count() == 0
+    assert stratified_split(df, "c", "id", 1.0, 3).where("part = 'test'").count() == 0
+    assert stratified_split(df, "c", "id", 0.0, 3).where("part = 'train'").count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_sequence_equals_its_parts(skewed):
     data, df = skewed
     by, order, day = ["k"], ["d", "id"], F.col("d")
