@@ -37,7 +37,7 @@ def pair_columns(df: DataFrame, by: str, a, b, cols: Sequence[str]) -> DataFrame
     return df.agg(*picks)
 
 
-def proportion_diff(posterior: DataFrame, by: str, a, b, k: str, n: str) -> DataFrame:
+def proportion_diff(posterior: DataFrame, by: str, a, b, k: str = "k", n: str = "n") -> DataFrame:
     """b minus a: mean difference, 95 % normal interval and the exact P(difference > 0)."""
     p = pair_columns(posterior, by, a, b, ["post_mean", "post_var", k, n])
     diff = F.col("post_mean_b") - F.col("post_mean_a")
