@@ -45,6 +45,7 @@ def _(t):
     """)
 def _(t):
     """Against the history of the brand that requires a header, by the old id or by customer and order."""
+    t = t.shared(terms=True)
     terms = t.terms.withColumn("ordernumber", F.col("ordernumber").cast("string"))
     return v.missing_old_contracts(terms, h.stage(brand_history(t, "CD")), "1999-01-01")
 
@@ -60,6 +61,7 @@ def _(t):
     where s.ispaid and s.subscriptionstatus in ('active', 'past_due')
       and not exists (select 1 from history x where x.new_subid = s.subscriptionid)""")
 def _(t):
+    t = t.shared()
     return v.missing_new_subscriptions(t.subscription, captured(t), t.header)
 
 
@@ -74,6 +76,7 @@ def _(t):
     select t.brand, total_subs, captured_subs, captured_subs * 100.0 / total_subs as capture_pct,
       total_subs - captured_subs as missing_subs from total t join found f on f.brand = t.brand""")
 def _(t):
+    t = t.shared()
     return v.capture_rate(t.subscription, captured(t))
 
 

@@ -195,6 +195,18 @@ def test_next_term_does_not_bridge_gaps(spark):
     assert rows(out, "n", "nv") == [(1, 20), (2, None), (4, None)]
 
 
+def test_next_term_shuffles_once_and_pairs_all_rows_of_the_next_number(spark):
+    data = [("s", 1023, 1), ("s", 1024, 2), ("s", 1024, 3), ("s", 1025, 4), ("s", None, 5), (None, 1, 6), (None, 2, 7),
+            ("t", -1, 8), ("t", 0, 9)]
+    df = spark.createDataFrame(data, "k string, n int, v int")
+    out = j.next_term(df, "k", "n", {"nv": "v"})
+    want = [(v, w) for k, n, v in data
+            for w in [x for a, b, x in data if k and n is not None and a == k and b == n + 1] or [None]]
+    assert sorted(map(tuple, out.select("v", "nv").collect()), key=str) == sorted(want, key=str)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+
+
 def test_identity_maps_are_tried_in_order(spark):
     u = spark.createDataFrame([(1,), (2,), (3,), (None,)], "uid int")
     a = spark.createDataFrame([(1, "A")], "id int, key string")

@@ -11,7 +11,7 @@ from subscope.catalog import history as ch
 from subscope.catalog import paths as cp
 from subscope.plans import audience, engagement, history, models, paths, pricing, quality
 from subscope.plans.rules import BRANDS, donor_type, new_autorenew
-from subscope.sources.io import stage
+from subscope.sources.io import stage, stage_by
 from subscope.sources.standins import Inputs
 from tools.plans import findings
 
@@ -357,6 +357,49 @@ def test_new_terms_number_rises_with_the_start(stitched):
     assert new.count() > 0 and bad.count() == 0
 
 
+def test_staged_by_key_is_grouped_joined_and_numbered_without_a_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 50).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("v"))
+    held = stage_by(df, ["k"])
+    assert held.exceptAll(df).count() == 0 and held.count() == 1000
+    plan = held.groupBy("k").agg(F.sum("v"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def _order_tables(spark, root, missing: int, twice: int):
+    """Tables of a few orders; one customer is unknown, one is in the table twice."""
+    sf = "/root/testdata/sf0.001"
+    keep = F.col("o_custkey") < 40
+    o = spark.read.parquet(f"{sf}/orders.parquet").where(keep)
+    spark.read.parquet(f"{sf}/lineitem.parquet").join(
+        o, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").write.parquet(f"{root}/lineitem.parquet")
+    o.write.parquet(f"{root}/orders.parquet")
+    c = spark.read.parquet(f"{sf}/customer.parquet").where(F.col("c_custkey") != missing)
+    c.union(c.where(F.col("c_custkey") == twice).withColumn("c_acctbal", F.col("c_acctbal") + 1)).write.parquet(
+        f"{root}/customer.parquet")
+    for t in ("nation", "region"):
+        spark.read.parquet(f"{sf}/{t}.parquet").write.parquet(f"{root}/{t}.parquet")
+
+
+def test_shared_lines_give_the_same_tables(spark, tmp_path):
+    root = str(tmp_path)
+    _order_tables(spark, root, missing=3, twice=6)
+    plain, shared = Inputs(spark, root), Inputs(spark, root).shared(terms=True)
+    assert plain.invoice.where("customeraccountid = 500003").count() > 0  # the unknown customer's invoices stay
+    for name in ("terms", "header", "subscription", "invoice"):
+        one, two = getattr(plain, name), getattr(shared, name)
+        if name == "terms":  # the copies' numbers are dealt freely
+            one, two = one.drop("termnumber"), two.drop("termnumber")
+        assert one.columns == two.columns and one.count() > 0
+        assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0, name
+
+
+def test_old_layers_need_no_shuffle_of_the_lines(spark, sf_dir):
+    t = Inputs(spark, sf_dir).shared()
+    wide = [t.terms, t.header.select("subscriptionreference"), history.invoice_rollup(t.invoice)]
+    for df in wide:
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 # --- plans ---------------------------------------------------------------------------------------
 
 
