@@ -32,7 +32,7 @@ def _(t):
 def _(t):
     keys = ["shiptocustomernumber", "ordernumber", "new_subid", "old_subid", "termnumber",
             "pubcode"]
-    return v.duplicate_keys(h.stage(stitched(t)), keys)
+    return v.duplicate_keys(stitched(t).select(*keys), keys)
 
 
 @query("v2_missing_old_contracts", "shiptocustomernumber:l ordernumber:l subscriptionreference:l",

@@ -207,6 +207,14 @@ def test_next_term_shuffles_once_and_pairs_all_rows_of_the_next_number(spark):
     assert "Join" not in plan and plan.count("Exchange") == 1
 
 
+def test_duplicate_rows_that_are_their_keys_are_not_joined_back(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, "c")], "k int, s string")
+    out = g.duplicate_rows(df, ["s", "k"])
+    assert out.columns == ["k", "s", "n"]
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, "a", 3)] * 3 + [(None, "b", 2)] * 2
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_identity_maps_are_tried_in_order(spark):
     u = spark.createDataFrame([(1,), (2,), (3,), (None,)], "uid int")
     a = spark.createDataFrame([(1, "A")], "id int, key string")

@@ -365,6 +365,16 @@ def test_staged_by_key_is_grouped_joined_and_numbered_without_a_shuffle(spark):
     assert "Exchange" not in plan
 
 
+def test_bill_to_may_come_after_the_links(spark, sf_dir):
+    t = Inputs(spark, sf_dir).shared()
+    billto = t.billto.union(t.billto.where("customernumber < 50"))  # addresses that stand twice
+    new_terms, core = ch.new_terms(t), history.terms_details(t.terms, t.header, ch.RULES)
+    late = history.mark_linked(core, new_terms, billto)
+    early = history.mark_linked(history.terms_base(t.terms, t.header, billto, ch.RULES), new_terms)
+    assert late.count() > core.count() and late.columns == early.columns
+    assert late.exceptAll(early).count() == 0 and early.exceptAll(late).count() == 0
+
+
 def _order_tables(spark, root, missing: int, twice: int):
     """Tables of a few orders; one customer is unknown, one is in the table twice."""
     sf = "/root/testdata/sf0.001"
