@@ -14,14 +14,16 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frame, shipped
+from .common import shipped
 
-#: Chunks, and as many pieces of chunks, that a Python worker memorises (about 70 MB).
+#: Chunks, and as many pieces of chunks, that a task memorises (about 80 MB).
 MEMO = 300_000
+#: Documents that are text and ids in Python at a time.
+SLICE = 250
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: The characters of an ordinary text: printable ASCII, line ends, and the letters of Latin-1.
@@ -77,6 +79,12 @@ class Encoder:
         return np.array([t.id for t in tokens], dtype="<u4").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
+        # Most chunks are a word, or a word and a mark: the split pattern leaves them as they are.
+        if chunk.isalpha():
+            return self._pieces[" " + chunk]
+        word, last = chunk[:-1], chunk[-1]
+        if word.isalpha() and not last.isalnum():
+            return self._pieces[" " + word] + self._pieces[last]
         text = chunk if chunk[0] == "\n" else " " + chunk
         return b"".join(map(self._pieces.__getitem__, _SPLIT.findall(text)))
 
@@ -98,6 +106,11 @@ class Encoder:
         first, *chunks = text.replace("\n", " \n").split(" ")
         return self._ids(first) + b"".join(map(self._chunks.__getitem__, chunks))
 
+    def forget(self) -> None:
+        """Give back what was memorised."""
+        self._pieces.clear()
+        self._chunks.clear()
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -129,25 +142,26 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     id_type = docs.schema[id_col].dataType.simpleString()
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer).encode
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = encoder(tokenizer)
         for batch in batches:
-            rows, held = [], 0
-            for doc, text in zip(batch["id"], batch["text"]):
-                ids = encode(text or "") + end
-                n, start = len(ids) // 4, 0
-                for length in lengths(n, longest):
-                    rows.append((doc, start, length, ids[4 * start:4 * (start + length)], n))
-                    start += length
-                held += n
-                if held > 4_000_000:
-                    yield frame(rows, names)
-                    rows, held = [], 0
-            yield frame(rows, names)
-
-    names = ["doc_id", "start", "length", "ids", "doc_tokens"]
+            for low in range(0, batch.num_rows, SLICE):
+                rows = []
+                for doc, text in zip(*(c.to_pylist() for c in batch.slice(low, SLICE).columns)):
+                    ids = code.encode(text or "") + end
+                    n, start = len(ids) // 4, 0
+                    for length in lengths(n, longest):
+                        rows.append((doc, start, length, ids[4 * start:4 * (start + length)], n))
+                        start += length
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+        # The worker stays for later stages.
+        code.forget()
+
+    schema = pa.schema([("doc_id", pa.string()), ("start", pa.int64()), ("length", pa.int64()),
+                        ("ids", pa.binary()), ("doc_tokens", pa.int64())])
     # An id as text keeps nulls and all 64 bits through pandas.
-    pieces = shipped(docs).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInPandas(
+    pieces = shipped(docs).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInArrow(
         cut, "doc_id string, start long, length long, ids binary, doc_tokens long")
     return pieces.select(
         F.col("doc_id").cast(id_type).alias("doc_id"), "start", "length", "ids", "doc_tokens",

@@ -196,6 +196,22 @@ def test_chunks_are_encoded_as_in_the_whole_text():
     assert packing.lengths(5000, 2048) == [2048, 2048, 512, 256, 128, 8]
 
 
+def test_words_and_marks_need_no_pattern_and_nothing_stays_memorised(monkeypatch):
+    code = packing.Encoder(queries.vocabulary())
+    text = "A word, a mark. Größe! naïve; it' and (5) end?\nNext"
+    want = code._ids(text)
+    asked = []
+
+    class Pattern:
+        def findall(self, chunk, of=packing._SPLIT):
+            asked.append(chunk)
+            return of.findall(chunk)
+    monkeypatch.setattr(packing, "_SPLIT", Pattern())
+    assert code.encode(text) == want and asked == [" (5)", "\nNext"]
+    code.forget()
+    assert not code._pieces and not code._chunks and code.encode(text) == want
+
+
 # Quality rules
 
 def plain_stats(text):
