@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import shipped
 
-#: Chunks, and as many pieces of chunks, that a task memorises (about 80 MB).
+#: Chunks, and as many pieces of chunks, that a task memorises (words are chunks: about 45 MB).
 MEMO = 300_000
 #: Documents that are text and ids in Python at a time.
 SLICE = 250
@@ -79,12 +79,12 @@ class Encoder:
         return np.array([t.id for t in tokens], dtype="<u4").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        # Most chunks are a word, or a word and a mark: the split pattern leaves them as they are.
+        # Most chunks are a word, or a word and a mark: the split pattern leaves both whole.
         if chunk.isalpha():
-            return self._pieces[" " + chunk]
+            return self._piece(" " + chunk)
         word, last = chunk[:-1], chunk[-1]
         if word.isalpha() and not last.isalnum():
-            return self._pieces[" " + word] + self._pieces[last]
+            return self._chunks[word] + self._pieces[last]
         text = chunk if chunk[0] == "\n" else " " + chunk
         return b"".join(map(self._pieces.__getitem__, _SPLIT.findall(text)))
 
@@ -106,21 +106,6 @@ class Encoder:
         first, *chunks = text.replace("\n", " \n").split(" ")
         return self._ids(first) + b"".join(map(self._chunks.__getitem__, chunks))
 
-    def forget(self) -> None:
-        """Give back what was memorised."""
-        self._pieces.clear()
-        self._chunks.clear()
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One for each Python worker and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
 
 def lengths(n: int, longest: int) -> list[int]:
     """Binary-length pieces of n tokens, longest first."""
@@ -143,7 +128,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = encoder(tokenizer)
+        code = Encoder(tokenizer)  # goes with the task: its worker stays for later stages
         for batch in batches:
             for low in range(0, batch.num_rows, SLICE):
                 rows = []
@@ -155,8 +140,6 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                         start += length
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-        # The worker stays for later stages.
-        code.forget()
 
     schema = pa.schema([("doc_id", pa.string()), ("start", pa.int64()), ("length", pa.int64()),
                         ("ids", pa.binary()), ("doc_tokens", pa.int64())])

@@ -72,6 +72,11 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(out ^ (out >> np.uint64(31)))
 
 
+def forget() -> None:
+    """Drop the words a task memorised: its worker stays for later stages. A function, so that tasks get it by name."""
+    _MEMO.clear()
+
+
 def signature(found: np.ndarray) -> np.ndarray:
     """MinHash values of a shingle set, tree after tree."""
     least = np.full(len(_SCALE), np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -94,17 +99,19 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
 
     @F.pandas_udf("print binary, signature binary, light binary")
-    def sign(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            found = shingles(text)
-            if len(found):
-                hashes = signature(found)
-                rows.append((xxhash.xxh128_digest(found.tobytes()), hashes.astype("<u4").tobytes(),
-                             hashes.astype("u1").tobytes()))
-            else:
-                rows.append((None, None, None))
-        return frame(rows, ["print", "signature", "light"])
+    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows = []
+            for text in texts:
+                found = shingles(text)
+                if len(found):
+                    hashes = signature(found)
+                    rows.append((xxhash.xxh128_digest(found.tobytes()), hashes.astype("<u4").tobytes(),
+                                 hashes.astype("u1").tobytes()))
+                else:
+                    rows.append((None, None, None))
+            yield frame(rows, ["print", "signature", "light"])
+        forget()
 
     return shipped(docs).select(
         F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"),
@@ -226,8 +233,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
     clusters = stage(components(_alike(nodes.select("node", "signature", "light"), threshold, recall)))
 
     @F.pandas_udf("binary")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: shingles(t).astype("<u8").tobytes(), na_action=None)
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(lambda t: shingles(t).astype("<u8").tobytes(), na_action=None)
+        forget()
 
     asked = stage(slim.join(clusters, "node").select(
         "node", F.col("root").alias("cluster"), "weight", F.col("first.doc_id").alias("d"),
