@@ -11,19 +11,22 @@ Nothing is shuffled: pieces leave the task that tokenised the document.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import shipped
 
-#: Chunks, and as many pieces of chunks, that a task memorises (words are chunks: about 45 MB).
+#: Words, and as many pieces of chunks, that a task memorises (about 45 MB of words).
 MEMO = 300_000
-#: Documents that are text and ids in Python at a time.
-SLICE = 250
+#: Characters of the documents that are text and ids in Python at a time (a longer document stands alone).
+SLICE = 4 << 20
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: The characters of an ordinary text: printable ASCII, line ends, and the letters of Latin-1.
@@ -58,7 +61,8 @@ class Encoder:
 
     In an ordinary text (Latin letters, single spaces and line ends) the
     tokenizer's splits fall before every space and line end, so the text's ids
-    are those of its chunks in turn, each encoded once and memorised. Any other
+    are those of its chunks in turn. Arrow finds the distinct chunks of many
+    texts, each is encoded once, and the ids are laid out by number. Any other
     text is encoded whole.
     """
 
@@ -69,23 +73,26 @@ class Encoder:
         self._model = self._whole.model
         self._letters = _byte_letters()
         self._pieces = _Memo(self._piece)
-        self._chunks = _Memo(self._chunk)
+        self._chunks = _Memo(self._word)
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self._whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self._whole.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         tokens = self._model.tokenize(piece.encode().decode("latin-1").translate(self._letters))
-        return np.array([t.id for t in tokens], dtype="<u4").tobytes()
+        return array("I", [t.id for t in tokens]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return self._piece(" " + word)
 
     def _chunk(self, chunk: str) -> bytes:
         # Most chunks are a word, or a word and a mark: the split pattern leaves both whole.
         if chunk.isalpha():
-            return self._piece(" " + chunk)
-        word, last = chunk[:-1], chunk[-1]
+            return self._chunks[chunk]
+        word, last = chunk[:-1], chunk[-1:]
         if word.isalpha() and not last.isalnum():
             return self._chunks[word] + self._pieces[last]
-        text = chunk if chunk[0] == "\n" else " " + chunk
+        text = chunk if chunk[:1] == "\n" else " " + chunk
         return b"".join(map(self._pieces.__getitem__, _SPLIT.findall(text)))
 
     @staticmethod
@@ -99,12 +106,32 @@ class Encoder:
                     or " \n" in text or "\n " in text)
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.ordinary(text):
-            return self._ids(text)
-        first, *chunks = text.replace("\n", " \n").split(" ")
-        return self._ids(first) + b"".join(map(self._chunks.__getitem__, chunks))
+        return self.encode_all([text])[0].tobytes()
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one row, and where each text's ids begin (and the last's end)."""
+        cut, heads = [], []
+        for text in texts:
+            plain = bool(text) and self.ordinary(text)
+            # A text's first chunk has no space before it: it is no chunk like the others.
+            first = re.match(r"[^ \n]*", text)[0] if plain else text
+            heads.append(self._ids(first) if first else b"")
+            cut.append(text[len(first):].replace("\n", " \n") if plain else "")
+        lists = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
+        starts = lists.offsets.to_numpy()
+        chunks = lists.flatten().dictionary_encode()
+        of_chunk = chunks.indices.to_numpy().copy()
+        distinct = chunks.dictionary.to_numpy(zero_copy_only=False)
+        # The empty chunk before a text's first space stands for that text's head.
+        of_chunk[starts[:-1]] = np.arange(len(texts)) + len(distinct)
+        parts = [self._chunk(c) if c else b"" for c in distinct] + heads
+        ids = np.frombuffer(b"".join(parts), dtype="<u4")
+        n = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        begin = np.cumsum(n) - n
+        each = n[of_chunk]
+        ends = np.cumsum(each)
+        laid = ids[np.repeat(begin[of_chunk] - (ends - each), each) + np.arange(each.sum())]
+        return laid, np.concatenate([[0], ends])[starts]
 
 
 def lengths(n: int, longest: int) -> list[int]:
@@ -125,21 +152,30 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     if longest & (longest - 1):
         raise ValueError("longest must be a power of two")
     id_type = docs.schema[id_col].dataType.simpleString()
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Encoder(tokenizer)  # goes with the task: its worker stays for later stages
         for batch in batches:
-            for low in range(0, batch.num_rows, SLICE):
-                rows = []
-                for doc, text in zip(*(c.to_pylist() for c in batch.slice(low, SLICE).columns)):
-                    ids = code.encode(text or "") + end
-                    n, start = len(ids) // 4, 0
-                    for length in lengths(n, longest):
-                        rows.append((doc, start, length, ids[4 * start:4 * (start + length)], n))
-                        start += length
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+            docs, texts = batch.columns
+            size = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            low = 0
+            while low < batch.num_rows:
+                high = max(low + 1, int(np.searchsorted(size, (size[low - 1] if low else 0) + SLICE, "right")))
+                ids, at = code.encode_all([x or "" for x in texts.slice(low, high - low).to_pylist()])
+                tokens = np.diff(at) + 1
+                ids = np.insert(ids, at[1:], end_id)
+                pieces = [lengths(n, longest) for n in tokens.tolist()]
+                row = np.repeat(np.arange(high - low), [len(p) for p in pieces])
+                length = np.fromiter(chain.from_iterable(pieces), np.int64, len(row))
+                ends = np.cumsum(length)
+                offsets = np.concatenate([[0], ends])
+                start = offsets[:-1] - (np.cumsum(tokens) - tokens)[row]
+                of_piece = pa.Array.from_buffers(pa.large_binary(), len(row), [
+                    None, pa.py_buffer(4 * offsets), pa.py_buffer(ids.astype("<u4", copy=False))])
+                yield pa.RecordBatch.from_arrays([
+                    docs.slice(low, high - low).take(pa.array(row)), pa.array(start), pa.array(length),
+                    of_piece.cast(pa.binary()), pa.array(tokens[row])], schema=schema)
+                low = high
 
     schema = pa.schema([("doc_id", pa.string()), ("start", pa.int64()), ("length", pa.int64()),
                         ("ids", pa.binary()), ("doc_tokens", pa.int64())])

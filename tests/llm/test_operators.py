@@ -212,6 +212,26 @@ def test_words_and_marks_need_no_pattern_and_are_memorised_once(monkeypatch):
     assert not [p for p in code._pieces if p.strip().isalpha() and len(p) > 5] and "word" in code._chunks
 
 
+def test_a_chunk_of_many_texts_is_encoded_once(monkeypatch):
+    code = packing.Encoder(queries.vocabulary())
+    texts = ["A word, a mark.", "", " odd", "word, a word,\nword", "a\n\nb word,", "\na", "x"] * 3
+    asked, of = [], code._chunk
+    monkeypatch.setattr(code, "_chunk", lambda chunk: asked.append(chunk) or of(chunk))
+    ids, at = code.encode_all(texts)
+    assert [ids[a:b].tobytes() for a, b in zip(at, at[1:])] == [code._ids(t) for t in texts]
+    assert len(asked) == len(set(asked)) and {"word,", "a"} <= set(asked)
+
+
+def test_pack_cuts_batches_in_slices(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "one two, three\n" * (k % 7) + "end") for k in range(60)] + [(None, None)], "doc_id long, text string")
+    want = sorted(rows(packing.digest(packing.pack(docs.repartition(2), queries.vocabulary(), longest=16)).select(
+        "doc_id", "start", "ids_crc32", "doc_tokens")), key=str)
+    monkeypatch.setattr(packing, "SLICE", 50)
+    got = rows(packing.digest(packing.pack(docs.repartition(2), queries.vocabulary(), longest=16)).select(
+        "doc_id", "start", "ids_crc32", "doc_tokens"))
+    assert sorted(got, key=str) == want and len({r[0] for r in got}) == 61
+
+
 # Quality rules
 
 def plain_stats(text):
