@@ -754,6 +754,27 @@ def test_doubtful_blocks_of_an_article_are_decided_by_the_host(spark):
     assert got[32][2].startswith(same_lead) and got[33][2].endswith(notice)
 
 
+def test_a_box_that_quotes_another_article_is_in_the_host_array(spark):
+    rng = np.random.default_rng(11)
+
+    def own(n):
+        return " ".join(f"w{x}" for x in rng.integers(0, 5000, n))
+    lead, plain, other, unique = own(30), own(40), own(40), own(12)
+    quote = f"<div class='box-1'>{' '.join(lead.split()[:15])}</div>"
+    pages = spark.createDataFrame([
+        (1, "http://h.org/1", f"<article><p>{lead}</p><p>{plain}</p></article>"),
+        (2, "http://h.org/2", f"<article><p>{other}</p>{quote}<div class='box-2'>{unique}</div></article>"),
+        (3, "http://h.org/3", f"<article><p>{own(50)}</p><p>{plain}</p></article>"),
+        (4, "http://i.org/4", f"<article><p>{other}</p>{quote}</article>")], "page_id long, url string, html string")
+    got = {r[0]: r for r in rows(main_text.extract(pages))}
+    assert got[2][2] == f"{other} {unique}" and got[2][5] == 15
+    # Plain paragraphs stay though another article has them; another host's array does not count.
+    assert got[1][2] == f"{lead} {plain}" and got[3][2].endswith(plain) and got[4][2].startswith(other + " w")
+    streams = spark.createDataFrame([("h", lead.split(), 1)], "host string, stream array<string>, page long")
+    again = spark.createDataFrame([("h", lead.split(), 2), ("h", plain.split(), 2), ("h", plain.split(), 3)], streams.schema)
+    assert main_text.repeated(streams).count() == 0 and main_text.repeated(streams, again).count() == 30 - main_text.LEAST + 1
+
+
 def test_certain_and_doubtful_names():
     told = {name: main_text._unwanted("div", f" class='{name}'", True) for name in
             ("share", "share-buttons", "newsletter-box", "social-history", "banner-year", "box-7", "")}
