@@ -375,6 +375,43 @@ def test_bill_to_may_come_after_the_links(spark, sf_dir):
     assert late.exceptAll(early).count() == 0 and early.exceptAll(late).count() == 0
 
 
+def test_roll_ups_and_latest_invoices_stay_where_they_lie(spark, sf_dir):
+    """Unlinked and pairwise roll-ups shuffled by product, the latest invoices by period, the terms by address."""
+    t = Inputs(spark, sf_dir).shared()
+    marked = ch.marked(t)
+    linked = history.linked_rollup(marked, ch.RULES)
+    for df in (linked, history.unlinked_rollup(marked, linked, ch.RULES), history.pairwise_merge(marked, ch.RULES),
+               history.invoice_dedup(history.invoice_rollup(t.invoice))):
+        assert "Exchange hash" not in df._jdf.queryExecution().executedPlan().toString()
+    core = history.terms_details(t.terms, t.header, ch.RULES)
+    assert history.repeat_by_billto(core, t.billto)._jdf.queryExecution().executedPlan().toString().count(
+        "Exchange hash") == core._jdf.queryExecution().executedPlan().toString().count("Exchange hash")
+
+
+def test_pairwise_merge_and_health_split_are_sets(spark):
+    row = (1, "b", 5, None, "Basic Digital", 70, 900, 1, "Y", "Annual", None, None, 10.0, None, None, 1.0, "I", 1, 70)
+    loose = (1, "b", 6, None, "Basic Digital", None, None, 1, "Y", "Annual", None, None, 10.0, None, None, 1.0, "I", 1, None)
+    marked = spark.createDataFrame([row, row, loose, loose, (None, None, None, *loose[3:])], f"{FULL}, pub_level int, old_sub_id int")
+    for got in (history.pairwise_merge(marked, ch.RULES), history.health_split(marked, "Basic Digital", ch.RULES)):
+        assert got.count() == got.distinct().count() > 0
+    assert history.health_rows(marked, "Basic Digital", ch.RULES).count() == 2
+    # The detail of a null product or null order is found by nothing.
+    got = history._with_detail(history._order_rollup(marked, ch.RULES), marked, [*history.ORDER, "product"], "left")
+    assert got.where("ordernumber is null").select("donortype").first()[0] is None
+
+
+def test_repeat_by_billto_matches_the_join(spark):
+    df = spark.createDataFrame([(1, 7, "a"), (2, 7, None), (3, None, "a"), (4, 8, "b"), (5, 9, "c")],
+                               "id int, billtocustomernumber long, billtoaddresscode string")
+    billto = spark.createDataFrame([(7, "a", "x"), (7, "a", "y"), (7, "a", "y"), (None, "a", "z"), (None, "a", "z"),
+                                    (7, None, "z"), (7, None, "z"), (8, "b", "w")],
+                                   "customernumber long, addresscode string, companyname string")
+    want = history.with_billto(df, billto).drop("companyname")
+    got = history.repeat_by_billto(df, billto)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() == 7
+
+
 def _order_tables(spark, root, missing: int, twice: int):
     """Tables of a few orders; one customer is unknown, one is in the table twice."""
     sf = "/root/testdata/sf0.001"
