@@ -26,7 +26,7 @@ from .common import shipped
 #: Words, and as many pieces of chunks, that a task memorises (about 45 MB of words).
 MEMO = 300_000
 #: Characters of the documents that are text and ids in Python at a time (a longer document stands alone).
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: The characters of an ordinary text: printable ASCII, line ends, and the letters of Latin-1.
@@ -42,6 +42,21 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+class _Words:
+    """Ids of the split pattern's pieces, and of words after a space. It knows no memo, so memos of it free at once."""
+
+    def __init__(self, model):
+        self._model = model
+        self._letters = _byte_letters()
+
+    def piece(self, piece: str) -> bytes:
+        tokens = self._model.tokenize(piece.encode().decode("latin-1").translate(self._letters))
+        return array("I", [t.id for t in tokens]).tobytes()
+
+    def word(self, word: str) -> bytes:
+        return self.piece(" " + word)
+
+
 class _Memo(dict):
     """Remembers up to MEMO results of a function; others are computed again."""
 
@@ -70,21 +85,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_file(path)
-        self._model = self._whole.model
-        self._letters = _byte_letters()
-        self._pieces = _Memo(self._piece)
-        self._chunks = _Memo(self._word)
+        words = _Words(self._whole.model)
+        # Memos of an own method would hold the encoder, and it them, until Python next looks for cycles:
+        # a worker would keep the memos of several tasks.
+        self._pieces = _Memo(words.piece)
+        self._chunks = _Memo(words.word)
 
     def _ids(self, text: str) -> bytes:
         return array("I", self._whole.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        tokens = self._model.tokenize(piece.encode().decode("latin-1").translate(self._letters))
-        return array("I", [t.id for t in tokens]).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        return self._piece(" " + word)
-
     def _chunk(self, chunk: str) -> bytes:
         # Most chunks are a word, or a word and a mark: the split pattern leaves both whole.
         if chunk.isalpha():
@@ -153,6 +162,22 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         raise ValueError("longest must be a power of two")
     id_type = docs.schema[id_col].dataType.simpleString()
 
+    def pieces_of(docs: pa.Array, texts: pa.Array, code: Encoder) -> pa.RecordBatch:
+        ids, at = code.encode_all([x or "" for x in texts.to_pylist()])
+        tokens = np.diff(at) + 1
+        ids = np.insert(ids, at[1:], end_id)
+        pieces = [lengths(n, longest) for n in tokens.tolist()]
+        row = np.repeat(np.arange(len(docs)), [len(p) for p in pieces])
+        length = np.fromiter(chain.from_iterable(pieces), np.int64, len(row))
+        ends = np.cumsum(length)
+        offsets = np.concatenate([[0], ends])
+        start = offsets[:-1] - (np.cumsum(tokens) - tokens)[row]
+        of_piece = pa.Array.from_buffers(pa.large_binary(), len(row), [
+            None, pa.py_buffer(4 * offsets), pa.py_buffer(ids.astype("<u4", copy=False))])
+        return pa.RecordBatch.from_arrays([
+            docs.take(pa.array(row)), pa.array(start), pa.array(length),
+            of_piece.cast(pa.binary()), pa.array(tokens[row])], schema=schema)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Encoder(tokenizer)  # goes with the task: its worker stays for later stages
         for batch in batches:
@@ -161,21 +186,10 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             low = 0
             while low < batch.num_rows:
                 high = max(low + 1, int(np.searchsorted(size, (size[low - 1] if low else 0) + SLICE, "right")))
-                ids, at = code.encode_all([x or "" for x in texts.slice(low, high - low).to_pylist()])
-                tokens = np.diff(at) + 1
-                ids = np.insert(ids, at[1:], end_id)
-                pieces = [lengths(n, longest) for n in tokens.tolist()]
-                row = np.repeat(np.arange(high - low), [len(p) for p in pieces])
-                length = np.fromiter(chain.from_iterable(pieces), np.int64, len(row))
-                ends = np.cumsum(length)
-                offsets = np.concatenate([[0], ends])
-                start = offsets[:-1] - (np.cumsum(tokens) - tokens)[row]
-                of_piece = pa.Array.from_buffers(pa.large_binary(), len(row), [
-                    None, pa.py_buffer(4 * offsets), pa.py_buffer(ids.astype("<u4", copy=False))])
-                yield pa.RecordBatch.from_arrays([
-                    docs.slice(low, high - low).take(pa.array(row)), pa.array(start), pa.array(length),
-                    of_piece.cast(pa.binary()), pa.array(tokens[row])], schema=schema)
+                yield pieces_of(docs.slice(low, high - low), texts.slice(low, high - low), code)
                 low = high
+            del batch, docs, texts, size
+            pa.default_memory_pool().release_unused()
 
     schema = pa.schema([("doc_id", pa.string()), ("start", pa.int64()), ("length", pa.int64()),
                         ("ids", pa.binary()), ("doc_tokens", pa.int64())])

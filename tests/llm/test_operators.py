@@ -1,9 +1,11 @@
 """The operators against plain Python on small tables, with nulls, empty and repeated rows, ties, long texts."""
 
+import gc
 import hashlib
 import itertools
 import math
 import re
+import weakref
 import zlib
 
 import duckdb
@@ -222,6 +224,19 @@ def test_a_chunk_of_many_texts_is_encoded_once(monkeypatch):
     assert len(asked) == len(set(asked)) and {"word,", "a"} <= set(asked)
 
 
+def test_an_encoder_goes_with_its_task():
+    code = packing.Encoder(queries.vocabulary())
+    code.encode_all(["one two, three\nfour 4", "", "five  six"])
+    held = [weakref.ref(x) for x in (code, code._chunks, code._pieces)]
+    assert code._chunks and code._pieces
+    gc.disable()  # a worker's collector seldom runs: few of a task's objects are ones that it counts
+    try:
+        del code
+        assert [x() for x in held] == [None] * 3
+    finally:
+        gc.enable()
+
+
 def test_pack_cuts_batches_in_slices(spark, monkeypatch):
     docs = spark.createDataFrame([(k, "one two, three\n" * (k % 7) + "end") for k in range(60)] + [(None, None)], "doc_id long, text string")
     want = sorted(rows(packing.digest(packing.pack(docs.repartition(2), queries.vocabulary(), longest=16)).select(
