@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import shipped
 
-#: Words, and as many pieces of chunks, that a task memorises (about 45 MB of words).
-MEMO = 300_000
+#: Words, and as many pieces of chunks, that a task memorises (about 20 MB of words).
+MEMO = 150_000
 #: Characters of the documents that are text and ids in Python at a time (a longer document stands alone).
 SLICE = 1 << 20
 
