@@ -400,6 +400,15 @@ def test_pairwise_merge_and_health_split_are_sets(spark):
     assert got.where("ordernumber is null").select("donortype").first()[0] is None
 
 
+def test_unlinked_rows_that_come_twice_count_twice(spark):
+    loose = (1, "b", 6, None, "Basic Digital", 70, None, 1, "Y", "Annual", None, None, 10.0, None, None, 1.0, "I", 1, None)
+    other = (1, "b", 7, None, "Basic Digital", 70, None, 1, "Y", "Annual", None, None, 5.0, None, None, 2.0, "I", 1, None)
+    linked = (1, "b", 8, None, "Basic Digital", 70, 900, 1, "Y", "Annual", None, None, 10.0, None, None, 1.0, "I", 1, 70)
+    marked = spark.createDataFrame([loose, loose, other, linked, linked], f"{FULL}, pub_level int, old_sub_id int")
+    got = history.unlinked_rollup(marked, history.linked_rollup(marked, ch.RULES), ch.RULES)
+    assert rows(got, "ordernumber", "rate", "renewalrate") == [(6, 20.0, 2.0), (6, 20.0, 2.0), (7, 5.0, 2.0)]
+
+
 def test_repeat_by_billto_matches_the_join(spark):
     df = spark.createDataFrame([(1, 7, "a"), (2, 7, None), (3, None, "a"), (4, 8, "b"), (5, 9, "c")],
                                "id int, billtocustomernumber long, billtoaddresscode string")
