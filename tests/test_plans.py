@@ -409,6 +409,38 @@ def test_unlinked_rows_that_come_twice_count_twice(spark):
     assert rows(got, "ordernumber", "rate", "renewalrate") == [(6, 20.0, 2.0), (6, 20.0, 2.0), (7, 5.0, 2.0)]
 
 
+def test_rolled_up_is_both_roll_ups_by_one_join(spark):
+    tail = ("Y", "Annual", None, None, 10.0, None, None, 1.0, "I")
+    rows_of = [  # customer, brand, order, product, subscription, new one, term, level, old id
+        (1, "b", 5, "Premium", 70, 900, 1, 2, 70), (1, "b", 5, "Basic Digital", 71, None, 2, 1, None), (1, "c", 5, "Basic Digital", 72, None, 1, 1, None),
+        (1, "b", 6, "Premium", 73, None, 1, 2, None), (1, "b", 6, "Premium", 73, None, 1, 2, None), (1, "c", 6, "Basic Digital", 74, None, 3, 1, None),
+        (1, "b", 6, None, 75, None, 1, None, None), (1, "d", 7, None, 75, None, 1, None, None), (1, None, 8, "Premium", 76, 901, 1, 2, 76),
+        (None, "b", 5, "Premium", 77, 902, 1, 2, 77), (None, "b", 5, "Premium", 78, None, 1, 2, None), (1, "b", None, "Premium", 79, None, 1, 2, None)]
+    marked = spark.createDataFrame([(*r[:3], None, *r[3:7], *tail, *r[7:]) for r in rows_of], f"{FULL}, pub_level int, old_sub_id int")
+    linked = history.linked_rollup(marked, ch.RULES)
+    want = linked.unionByName(history.unlinked_rollup(marked, linked, ch.RULES))
+    got = history.rolled_up(marked, ch.RULES)
+    assert got.columns == want.columns and rows(got, "*") == rows(want, "*") and got.count() == 9
+    assert marked.count() and got._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
+
+
+def test_staged_tables_stay_few_files(spark, monkeypatch):
+    """Files were tasks x buckets, both in proportion to the input."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",)}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "300")
+        df = spark.range(20000).select((F.col("id") % 5000).alias("k"), F.col("id").alias("v")).repartition(40)
+        one = stage_by(df, ["k"], task_bytes=1000)
+        files = len(one.inputFiles())
+        cores = spark.sparkContext.defaultParallelism
+        assert 128 < files <= 128 * 4 * cores and one.exceptAll(df).count() == 0 and one.count() == 20000
+        both = one.join(stage_by(df.groupBy("k").count(), ["k"]), "k")
+        assert "Exchange hash" not in both._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
 def test_repeat_by_billto_matches_the_join(spark):
     df = spark.createDataFrame([(1, 7, "a"), (2, 7, None), (3, None, "a"), (4, 8, "b"), (5, 9, "c")],
                                "id int, billtocustomernumber long, billtoaddresscode string")
