@@ -790,6 +790,33 @@ def test_a_box_that_quotes_another_article_is_in_the_host_array(spark):
     assert main_text.repeated(streams).count() == 0 and main_text.repeated(streams, again).count() == 30 - main_text.LEAST + 1
 
 
+def test_articles_are_in_the_array_of_hosts_without_an_open_block(spark):
+    rng = np.random.default_rng(12)
+
+    def own(n):
+        return " ".join(f"w{x}" for x in rng.integers(0, 5000, n))
+    lead, menu = own(30), own(9)
+    pages = spark.createDataFrame([
+        (1, "http://h.org/1", f"<article><p>{lead}</p></article>"),
+        (2, "http://h.org/2", f"<article><p>{own(40)}</p></article><aside>{' '.join(lead.split()[5:20])}</aside>"),
+        (3, "http://h.org/3", f"<nav>{menu}</nav><article><p>{own(20)}</p></article>"),
+        (4, "http://i.org/4", f"<nav>{' '.join(lead.split()[5:20])}</nav><article><p>{own(20)}</p></article>")], "page_id long, url string, html string")
+    got = {r[0]: r for r in rows(main_text.extract(pages))}
+    assert got[1][2] == lead and [got[k][5] for k in (1, 2, 3, 4)] == [0, 15, 0, 0]
+
+
+def test_articles_suffixes_are_sorted_only_where_they_may_meet_one_that_is_asked(spark):
+    rng = np.random.default_rng(13)
+    texts = [(f"h{k % 3}", [f"w{x}" for x in rng.integers(0, 4, 50)], k) for k in range(12)]
+    streams = spark.createDataFrame([(h, t[:12] if k % 2 else [], k) for h, t, k in texts], "host string, stream array<string>, page long")
+    certain = spark.createDataFrame([(h, " ".join(t), k) for h, t, k in texts] + [("h0", "", 90)], "host string, stream string, page long")
+    asked = main_text._asked(streams)
+    few = rows(main_text._stream_suffixes(certain, asked))
+    every = rows(main_text._stream_suffixes(certain))
+    heads = {(h, s[:4 * main_text.LEAST]) for h, s, _ in rows(main_text._stream_suffixes(streams))}
+    assert few == [r for r in every if (r[0], r[1][:4 * main_text.LEAST]) in heads] and 0 < len(few) < len(every)
+
+
 def test_certain_and_doubtful_names():
     told = {name: main_text._unwanted("div", f" class='{name}'", True) for name in
             ("share", "share-buttons", "newsletter-box", "social-history", "banner-year", "box-7", "")}
